@@ -39,6 +39,7 @@ select match_id, side, source, text,
              '(?U)(?<=[\\p{{N}}#])\\s(?=#)', ''),
            '(?U)(?<![\\p{{L}}])\\p{{Lu}}[\\p{{L}}]*', '§'),
          '(?U)\\s+'), x -> x <> '') as words,
+       text rlike '[\\n\\r]' as broken,
        filter(split(regexp_replace(regexp_replace(regexp_replace(regexp_extract(text, '(?U)([^\\n\\r]*)\\z', 1),
            '([\\x{{0900}}-\\x{{0DFF}}\\x{{0E00}}-\\x{{0EFF}}\\x{{3040}}-\\x{{30FF}}\\x{{3400}}-\\x{{9FFF}}\\x{{FF61}}-\\x{{FF9F}}])', ' $1 '),
            '(?U)\\p{{L}}?\\p{{N}}[\\p{{N}}.,]*', '#'), '[\\x{{27}}’]', ' '), '(?U)\\s+'), x -> x <> '') as line
@@ -46,7 +47,7 @@ from {v}
 """
 
 _ENDS = r"""
-select match_id, side, source, trails, ended, listed, words,
+select match_id, side, source, trails, ended, listed, broken, words,
        concat_ws(' ', slice(line, 1, 2)) as opening,
        size(words) as n,
        concat_ws(' ', slice(concat(array('^', '^'), words), size(words), 3)) as last3,
@@ -55,13 +56,14 @@ select match_id, side, source, trails, ended, listed, words,
 from {s} where size(words) > 0
 """
 
-# Openings of last lines; a label is a heading, caption or list entry.
+# Openings of last lines; a label is a heading, caption or list entry. A line of a rare opening that
+# follows other lines is prose: labels come first.
 _OPENINGS = r"""
-select opening, count_if(not ended and not trails) >= {label} * count(*) as label from {e} group by opening
+select opening, count(*) as lines, count_if(not ended and not trails) >= {label} * count(*) as label from {e} group by opening
 """
 
 _CLASSED = r"""
-select e.*, o.label from {e} e join {o} o on e.opening = o.opening
+select e.*, o.label and (o.lines >= 3 or not e.broken) as label from {e} e join {o} o on e.opening = o.opening
 """
 
 # Every trigram of every value, by whether its last line is a label; the one at the end apart.
