@@ -112,7 +112,7 @@ def judged(docs: DataFrame) -> DataFrame:
     """(match_id, side, source, truncated): every value that isn't null or blank. Copies of a row
     count by themselves; other columns may have any names."""
     spark = docs.sparkSession
-    ends = spark.sql(_ENDS, s=spark.sql(_SHAPED, v=spark.sql(_VALUES, docs=docs)))
+    ends = checkpointed(spark.sql(_ENDS, s=spark.sql(_SHAPED, v=spark.sql(_VALUES, docs=docs))))
     ends = checkpointed(spark.sql(_CLASSED, e=ends, o=spark.sql(_OPENINGS, e=ends, label=LABEL)))
     trigrams = checkpointed(spark.sql(_TRIGRAMS, e=ends))
     tables = {"t": trigrams, "b": spark.sql(_PLAIN, t=trigrams), "r": spark.sql(_TRAILING, t=trigrams), "w": spark.sql(_WORDS, e=ends)}
