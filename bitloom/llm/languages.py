@@ -15,13 +15,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bitloom.llm.sampling import smallest
 from bitloom.llm.sentences import Splitter
 from bitloom.llm.spam import OWNER
 
 LATIN, OTHER = ("en", "fr", "de", "es"), ("ja", "zh", "hi", "th")
-#: Labelled texts per language that dictionaries are made of, their longest length, and the bytes
-#: of a dictionary.
-FIT_TEXTS, FIT_LENGTH, DICTIONARY = 4000, 4000, 110_000
+#: Values per column and documents per label that dictionaries are made of, their longest length, and
+#: the bytes of a dictionary.
+FIT_TEXTS, FIT_DOCUMENTS, FIT_LENGTH, DICTIONARY = 4000, 200, 4000, 110_000
 LEVEL = 3
 #: By how much of the text's bytes the second smallest result must exceed the smallest.
 MARGIN = 0.1
@@ -107,17 +108,19 @@ class Classifier:
 
 def dictionaries(values: DataFrame, documents: DataFrame) -> dict[str, bytes]:
     """Dictionaries of each language from labelled texts: the columns en and fr of ``values``, and
-    documents of the other languages. Of each label at most FIT_TEXTS texts of at most FIT_LENGTH
-    characters are taken, those with the smallest hashes; wrong ones among them are left out."""
-    sides = values.select(F.explode(F.create_map(F.lit("en"), F.col("en"), F.lit("fr"), F.col("fr"))).alias("lang", "text"))
-    rest = documents.select("lang", "text").where(F.col("lang").isin([*OTHER, "de", "es"]))
+    documents of the other languages. Of each column at most FIT_TEXTS and of each label
+    FIT_DOCUMENTS texts of at most FIT_LENGTH characters are taken, those with the smallest hashes; wrong ones among them are left out."""
+    rows: dict[str, list[str]] = {}
+    for side in ("en", "fr"):
+        own = values.select(F.col(side).alias("text")).where(F.length("text").between(8, FIT_LENGTH))
+        rows[side] = [r["text"] for r in smallest(own, ["text"], FIT_TEXTS).collect()]
+    rest = documents.select("lang", "text").where(F.col("lang").isin([*OTHER, "de", "es"]) & F.length("text").between(8, FIT_LENGTH))
     each = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    # below 1000, so that every task sends on that many rows a language at most
+    top = rest.withColumn("r", F.row_number().over(each)).where(F.col("r") <= FIT_DOCUMENTS)
+    for r in top.orderBy("lang", "r").collect():
+        rows.setdefault(r["lang"], []).append(r["text"])
     out = {}
-    rows: dict[str, list[str]] = {}
-    for part in (sides, rest):
-        top = part.where(F.length("text").between(8, FIT_LENGTH)).withColumn("r", F.row_number().over(each)).where(F.col("r") <= FIT_TEXTS // (1 if part is sides else 20))
-        for r in top.orderBy("lang", "r").collect():
-            rows.setdefault(r["lang"], []).append(r["text"])
     for lang, texts in rows.items():
         out[lang] = dictionary(texts, lang)
     return out

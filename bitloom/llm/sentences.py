@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bitloom.llm.sampling import smallest
+
 #: Most sentences per language side, and values in scripts without spaces, that a model is fitted on.
 FIT_SENTENCES, FIT_BARE = 3000, 600
 #: Joined texts made of them, and passes over them.
@@ -259,9 +261,9 @@ def fitted(sentences: DataFrame, values: DataFrame) -> Splitter:
     """
     pool: list[str] = []
     for side in ("en", "fr"):
-        pool += [r[0] for r in sentences.where(F.col(side).isNotNull()).select(side).distinct().orderBy(F.xxhash64(side), side).limit(FIT_SENTENCES).collect()]
+        pool += [r[0] for r in smallest(sentences.where(F.col(side).isNotNull()).select(side), [side], FIT_SENTENCES).collect()]
     both = values.select(F.explode(F.array("en", "fr")).alias("t")).where(F.col("t").rlike(f"[{HAN}]{{8}}") & (F.length("t") < 2000))
-    return fit(pool, [r[0] for r in both.distinct().orderBy(F.xxhash64("t"), "t").limit(FIT_BARE).collect()])
+    return fit(pool, [r[0] for r in smallest(both, ["t"], FIT_BARE).collect()])
 
 
 def units(values: DataFrame, splitter: Splitter) -> DataFrame:
