@@ -119,8 +119,10 @@ def has_date(text: Column) -> Column:
 
 def language(text: Column, least: int = 2, most_wrong: int = 0) -> Column:
     """en, fr, mixed or unknown, by hits in two word lists."""
-    hits = {k: F.size(F.filter(words(F.lower(text)), lambda w, v=v: w.isin(*v))) for k, v in WORDS.items()}
-    en, fr = hits["en"], hits["fr"]
+    def hits(lang: str) -> Column:
+        return F.size(F.filter(words(F.lower(text)), lambda w: w.isin(*WORDS[lang])))
+
+    en, fr = hits("en"), hits("fr")
     return F.when((en > fr) & (en >= least) & (fr <= most_wrong), "en").when((fr > en) & (fr >= least) & (en <= most_wrong), "fr").when((en >= most_wrong) & (fr >= most_wrong) & (en + fr >= least), "mixed").otherwise("unknown")
 
 

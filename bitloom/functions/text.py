@@ -84,8 +84,11 @@ def sentence_chunks(text: Column) -> Column:
     """array of struct(line_idx, sent_idx, text, is_last_in_line, is_empty): sentences of each line;
     a blank line is one empty chunk."""
     def of_line(line: Column, i: Column) -> Column:
-        pieces = label_sentences(line)
-        full = F.filter(F.transform(pieces, lambda x, k: F.struct(i.cast("int").alias("line_idx"), k.cast("int").alias("sent_idx"), F.trim(x).alias("text"), (k == F.size(pieces) - 1).alias("is_last_in_line"), F.lit(False).alias("is_empty"))), lambda c: c["text"] != "")
+        def numbered(pieces: Column) -> Column:
+            return F.transform(pieces, lambda x, k: F.struct(i.cast("int").alias("line_idx"), k.cast("int").alias("sent_idx"), F.trim(x).alias("text"), (k == F.size(pieces) - 1).alias("is_last_in_line"), F.lit(False).alias("is_empty")))
+
+        # the array around the sentences binds them, so that they are split once
+        full = F.filter(F.transform(F.array(label_sentences(line)), numbered)[0], lambda c: c["text"] != "")
         empty = F.array(F.struct(i.cast("int").alias("line_idx"), F.lit(0).alias("sent_idx"), F.lit("").alias("text"), F.lit(True).alias("is_last_in_line"), F.lit(True).alias("is_empty")))
         return F.when(F.trim(line) == "", empty).otherwise(full)
 
@@ -108,9 +111,9 @@ def chunks(text: Column, by: str = "sentences") -> Column:
 
 def reassemble(pieces: Column) -> Column:
     """Text of chunks: those of a line joined by a space, lines by a line break, in order."""
-    ordered = F.array_sort(pieces)
-    lines = F.array_distinct(F.transform(ordered, lambda c: c["line_idx"]))
-    return F.array_join(F.transform(lines, lambda i: F.array_join(F.transform(F.filter(ordered, lambda c: c["line_idx"] == i), lambda c: c["text"]), " ")), "\n")
+    start = F.struct(F.lit(-1).alias("line"), F.lit("").alias("text"))
+    joined = F.aggregate(F.array_sort(pieces), start, lambda s, c: F.struct(c["line_idx"].alias("line"), F.concat(s["text"], F.when(s["line"] == -1, "").when(s["line"] == c["line_idx"], " ").otherwise("\n"), c["text"]).alias("text")))
+    return joined["text"]
 
 
 def flatten_with_marks(paragraphs: Column) -> Column:

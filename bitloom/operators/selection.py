@@ -105,7 +105,7 @@ def steps_per_epoch(rows: DataFrame, batch: int, accumulate: int) -> DataFrame:
 def match_statistics(rows: DataFrame) -> DataFrame:
     """Per document: pairs, different places, similarity; of empty or null similarities null."""
     s = "similarity"
-    return rows.groupBy("document_name").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_distinct("idx").alias("n_places"), F.round(F.avg(s), 3).alias("mean_similarity"), F.min(s).alias("min_similarity"), F.max(s).alias("max_similarity"))
+    return rows.groupBy("document_name").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_distinct("idx").alias("n_places"), F.round(F.avg(F.col(s).cast("decimal(12,6)")), 3).cast("double").alias("mean_similarity"), F.min(s).alias("min_similarity"), F.max(s).alias("max_similarity"))
 
 
 def corpus_summary(statistics: DataFrame) -> DataFrame:

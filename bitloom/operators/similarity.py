@@ -50,9 +50,9 @@ def margin_scores(sims: DataFrame, group: str, k: int = K) -> DataFrame:
     return joined.select(group, "i", "j", "sim", F.when(F.least("n_i", "n_j") < 2, F.col("sim")).otherwise(F.try_divide("sim", F.col("row_mean") + F.col("col_mean"))).alias("margin"))
 
 
-def monotone(weights: np.ndarray) -> list[tuple[int, int]]:
-    """The heaviest monotone one-to-one alignment; entries below FLOOR weigh nothing."""
-    w = np.where(weights >= FLOOR, weights, 0.0)
+def monotone(weights: np.ndarray, floor: float = FLOOR) -> list[tuple[int, int]]:
+    """The heaviest monotone one-to-one alignment; entries below ``floor`` weigh nothing."""
+    w = np.where(weights >= floor, weights, 0.0)
     n, m = w.shape
     best = np.zeros((n + 1, m + 1))
     for i in range(1, n + 1):
@@ -71,7 +71,7 @@ def monotone(weights: np.ndarray) -> list[tuple[int, int]]:
     return pairs[::-1]
 
 
-def refine_gaps(pairs: list[tuple[int, int]], fr: list[str], en: list[str], encode: Callable = embed) -> list[tuple[str, str, float]]:
+def refine_gaps(pairs: list[tuple[int, int]], fr: list[str], en: list[str], encode: Callable = embed, floor: float = FLOOR) -> list[tuple[str, str, float]]:
     """Joined sentences of small gaps between neighbouring pairs, if they are similar."""
     out = []
     for (a, b), (c, d) in zip([(-1, -1), *pairs], [*pairs, (len(fr), len(en))], strict=True):
@@ -79,12 +79,12 @@ def refine_gaps(pairs: list[tuple[int, int]], fr: list[str], en: list[str], enco
         x, y = " ".join(left), " ".join(right)
         if 0 < len(left) <= GAP_SENTENCES and 0 < len(right) <= GAP_SENTENCES and len(x) <= GAP_CHARS and len(y) <= GAP_CHARS:
             v = encode([x, y])
-            if (s := float(v[0] @ v[1])) >= FLOOR:
+            if (s := float(v[0] @ v[1])) >= floor:
                 out.append((x, y, round(s, 3)))
     return out
 
 
-def align_documents(sentences: DataFrame, refine: bool = False) -> DataFrame:
+def align_documents(sentences: DataFrame, refine: bool = False, floor: float = FLOOR) -> DataFrame:
     """(document_name, fr, en, similarity): monotone alignment of each document's sentences, from the
     columns document_name, pos, en, fr; with ``refine`` the joined gaps instead. Rows without a name
     belong to no document. The matrix of one document stays in one task, as the method needs it."""
@@ -94,8 +94,8 @@ def align_documents(sentences: DataFrame, refine: bool = False) -> DataFrame:
         if not fr or not en:
             return pd.DataFrame(columns=["document_name", "fr", "en", "similarity"])
         sims = embed(fr) @ embed(en).T
-        pairs = monotone(sims)
-        found = refine_gaps(pairs, fr, en) if refine else [(fr[i], en[j], round(float(sims[i, j]), 3)) for i, j in pairs]
+        pairs = monotone(sims, floor)
+        found = refine_gaps(pairs, fr, en, floor=floor) if refine else [(fr[i], en[j], round(float(sims[i, j]), 3)) for i, j in pairs]
         return pd.DataFrame([(key[0], *x) for x in found], columns=["document_name", "fr", "en", "similarity"])
 
     named = sentences.where(F.col("document_name").isNotNull()).select("document_name", "pos", "fr", "en")

@@ -11,14 +11,13 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Glossary rows up to which the anchors are broadcast; beyond that they are shuffled.
 BROADCAST_ROWS = 100_000
 CASE_SENSITIVE = ("acronym", "table")
 PREFIXES = ("NOMENCLATURE", "TAXON", "ACRONYM", "SITE", "NAME")
-_QUOTED = re.compile(r"([\\.^$|?*+()\[\]{}])")
 
 
 def normalised(glossary: DataFrame) -> DataFrame:
@@ -56,7 +55,7 @@ def matches(texts: DataFrame, terms: DataFrame, key: str, text: str) -> DataFram
     small = terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     words = texts.where(F.col(text).isNotNull()).select(key, F.col(text).alias("__text"), F.explode(_runs(F.col(text))).alias("__anchor"))
     found = words.join(F.broadcast(anchored) if small else anchored, "__anchor")
-    return found.where(F.col("__text").rlike(_pattern(F.col("term"), F.col("category").isin(*CASE_SENSITIVE)))).drop("__anchor", "__text")
+    return found.where(F.rlike("__text", _pattern(F.col("term"), F.col("category").isin(*CASE_SENSITIVE)))).drop("__anchor", "__text")
 
 
 def unmatched_constraint(bitext: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -69,7 +68,7 @@ def unmatched_constraint(bitext: DataFrame, glossary: DataFrame) -> DataFrame:
     words = sides.select("match_id", "lang", "here", "there", F.explode(_runs(F.col("here"))).alias("__anchor"))
     sensitive = F.col("category").isin(*CASE_SENSITIVE)
     anchored = pairs.withColumn("__anchor", _anchor(F.col("term"))).where("__anchor is not null")
-    hit = words.join(small(anchored), ["lang", "__anchor"]).where(F.col("here").rlike(_pattern(F.col("term"), sensitive)) & ~F.col("there").rlike(_pattern(F.col("other"), sensitive)))
+    hit = words.join(small(anchored), ["lang", "__anchor"]).where(F.rlike("here", _pattern(F.col("term"), sensitive)) & ~F.rlike("there", _pattern(F.col("other"), sensitive)))
     return hit.select("match_id").distinct()
 
 
@@ -87,7 +86,7 @@ def absent_translations(rows: DataFrame, glossary: DataFrame) -> DataFrame:
     """(match_id, term, other): checklist items whose preferred French is absent from the row's French
     side; a null side is an empty one."""
     items = checklist(rows, glossary, "match_id", "en", "en")
-    return items.join(rows.select("match_id", F.coalesce("fr", F.lit("")).alias("there")), "match_id").where(~F.col("there").rlike(_pattern(F.col("other"), F.lit(False)))).drop("there")
+    return items.join(rows.select("match_id", F.coalesce("fr", F.lit("")).alias("there")), "match_id").where(~F.rlike("there", _pattern(F.col("other"), F.lit(False)))).drop("there")
 
 
 def substring_matches(rows: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -109,8 +108,6 @@ def two_way_index(glossary: DataFrame) -> DataFrame:
 
 def search_patterns(glossary: DataFrame, lang: str = "fr") -> DataFrame:
     """(category, term, place): terms longest first within their category."""
-    from pyspark.sql import Window
-
     terms = term_pairs(glossary, 1).where(F.col("lang") == lang).select("category", "term").distinct()
     return terms.withColumn("place", F.row_number().over(Window.partitionBy("category").orderBy(F.desc(F.length("term")), "term")))
 
