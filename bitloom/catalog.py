@@ -197,12 +197,23 @@ _CONSOLIDATED = """
 with pairs as (select en, fr, sum(coalesce(count, 0))::bigint as count, min(row_id) as first from table_translations where trim(en) <> '' and trim(fr) <> '' group by en, fr),
 entries as (select en, arg_max(fr, (count, -first)) as fr, max(count) as count, arg_max(first, (count, -first)) as first, count(*) - 1 as n_variants from pairs group by en)
 """
-_TERMS = "(select distinct english as term, french as other from (select distinct trim(french) as french, trim(english) as english from glossary where trim(french) <> '' and trim(english) <> '') where length(english) >= 2)"
-#: Whole words, in RE2: no letter, digit or underscore of any script beside.
-_WORD = r"regexp_matches(lower({text}), '(^|[^\pL\pN\pM_])' || regexp_replace(lower({term}), '([\\.^$|?*+()\[\]{{}}])', '\\\1', 'g') || '($|[^\pL\pN\pM_])')"
-_CHECK = f"(select distinct m.match_id, t.term, t.other, m.fr from matched_docx_data m join {_TERMS} t on m.en is not null and {_WORD.format(text='m.en', term='t.term')})"
-_PAIRS = "(select distinct category, trim(french) as french, trim(english) as english from glossary where trim(french) <> '' and trim(english) <> '' and category <> 'site' and least(length(trim(french)), length(trim(english))) >= 2)"
-_CASED = "(case when p.category in ('acronym', 'table') then " + _WORD.replace("lower(", "(") + " else " + _WORD + " end)"
+
+def _norm(c: str, cased: bool = False) -> str:
+    """Words of a text between single spaces, for tests of whole words by ``contains``."""
+    return f"' ' || regexp_replace({c if cased else f'lower({c})'}, '[^\\pL\\pN\\pM_]+', ' ', 'g') || ' '"
+
+
+_GLOSSARY = "(select distinct category, trim(french) as french, trim(english) as english from glossary where trim(french) <> '' and trim(english) <> '')"
+_NOT_NULL_FR = "coalesce(fr, '')"
+_CHECK = f"""
+with m as materialized (select match_id, {_norm("en")} as en_n, {_norm(_NOT_NULL_FR)} as fr_n from matched_docx_data where en is not null),
+t as materialized (select distinct english as term, french as other, {_norm("english")} as term_n, {_norm("french")} as other_n from {_GLOSSARY} where length(english) >= 2),
+hits as (select m.match_id, t.term, t.other, m.fr_n, t.other_n from m join t on contains(m.en_n, t.term_n))
+"""
+_UNMATCHED = f"""
+with m as materialized (select match_id, {_norm("en")} as en_n, {_norm("fr")} as fr_n, {_norm("en", True)} as en_c, {_norm("fr", True)} as fr_c from {_WHOLE}),
+p as materialized (select category in ('acronym', 'table') as cased, {_norm("english")} as e, {_norm("french")} as f, {_norm("english", True)} as ec, {_norm("french", True)} as fc from {_GLOSSARY} where category <> 'site' and least(length(french), length(english)) >= 2)
+select distinct match_id from m join p on case when cased then contains(en_c, ec) <> contains(fr_c, fc) else contains(en_n, e) <> contains(fr_n, f) end"""
 _COS = "list_cosine_similarity(a.embedding::double[], b.embedding::double[])"
 _RESULTS = "(select document_name || '#' || idx as sample, match_id, source as model, en as translated, en is not null as valid, similarity from matched_docx_data where document_name is not null)"
 
@@ -247,15 +258,15 @@ def oracle_sql() -> dict[str, str]:
         + _WHOLE,
         "punct_spacing_en": r"select match_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(en, ' +(:)', '\1', 'g'), ' +(;)', '\1', 'g'), ' +(\?)', '\1', 'g'), ' +(!)', '\1', 'g'), '([0-9]) +(%)', '\1\2', 'g') as en from " + _WHOLE,
         "usable_pairs": "select pub_number, x.filename_fr, x.filename_en from (select pub_number, max_by({'filename_fr': filename_fr, 'filename_en': filename_en}, (listed_at, coalesce(filename_fr, ''), coalesce(filename_en, ''))) as x from correlation group by pub_number) where x.filename_fr is not null and x.filename_en is not null and not (x.filename_fr = 'WITHDRAWN' and x.filename_en = 'WITHDRAWN')",
-        "absent_translations": f"select match_id, term, other from {_CHECK} where not {_WORD.format(text="coalesce(fr, '')", term='other')}",
-        "unmatched_terms": f"select distinct match_id from {_WHOLE} m join {_PAIRS} p on {_CASED.format(text='m.' + 'en', term='p.english')} <> {_CASED.format(text='m.' + 'fr', term='p.french')}",
+        "absent_translations": _CHECK + "select distinct match_id, term, other from hits where not contains(fr_n, other_n)",
+        "unmatched_terms": _UNMATCHED,
         "glossary_index": "select lang, key, x.category as category, x.french as french, x.english as english from (select lang, key, max({'category': category, 'french': french, 'english': english}) as x from (select 'fr' as lang, lower(trim(french)) as key, category, trim(french) as french, trim(english) as english from glossary where trim(french) <> '' and trim(english) <> '' union all select 'en', lower(trim(english)), category, trim(french), trim(english) from glossary where trim(french) <> '' and trim(english) <> '') group by lang, key)",
         "contraction_sets": r"""
 with w as (select lang, trim(unnest(regexp_split_to_array(lower(translate(text, '’', '''')), '\s+')), '.,!?;:"()[]{}«»') as w from """.replace("\\'\\'", "\'\'") + _SIDES + r""")
 select lang, regexp_extract(w, '^(\pL{1,2})''(\pL+)$', 1) as before, list_sort(list_distinct(list(regexp_extract(w, '^(\pL{1,2})''(\pL+)$', 2)))) as afters from w where regexp_matches(w, '^\pL{1,2}''\pL+$') group by 1, 2""",
         "search_patterns": "select category, term, row_number() over (partition by category order by length(term) desc, term) as place from (select distinct category, trim(french) as term from glossary where trim(french) <> '' and trim(english) <> '')",
-        "glossary_checklist": f"select match_id, term, other from {_CHECK}",
-        "sub_glossary": f"select distinct term, other from {_CHECK}",
+        "glossary_checklist": _CHECK + "select distinct match_id, term, other from hits",
+        "sub_glossary": _CHECK + "select distinct term, other from hits",
         "translation_matches": "select distinct match_id, french, english from matched_docx_data m join (select distinct trim(french) as french, trim(english) as english from glossary) g on contains(m.en, g.english) and contains(m.fr, g.french) where length(english) >= 3",
         "category_counts": "select coalesce(category, 'total') as category, count(*) as n from glossary group by rollup (category)",
         "glossary_dedup": _CONSOLIDATED + "select en, fr, count, n_variants from entries",
