@@ -200,7 +200,7 @@ entries as (select en, arg_max(fr, (count, -first)) as fr, max(count) as count,
 
 def _norm(c: str, cased: bool = False) -> str:
     """Words of a text between single spaces, for tests of whole words by ``contains``."""
-    return f"' ' || regexp_replace({c if cased else f'lower({c})'}, '[^\\pL\\pN\\pM_]+', ' ', 'g') || ' '"
+    return f"' ' || regexp_replace({c if cased else f'lower({c})'}, '[^\\pL\\pN\\pM_]', ' ', 'g') || ' '"
 
 
 _GLOSSARY = "(select distinct category, trim(french) as french, trim(english) as english from glossary where trim(french) <> '' and trim(english) <> '')"
