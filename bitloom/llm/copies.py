@@ -27,7 +27,7 @@ def normalised(text: Column) -> Column:
     becomes one decimal mark. Null stays null.
     """
     composed = F.when(text.rlike(r"[^\x00-\x{2FF}]"), F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))).otherwise(text)
-    folded = F.translate(F.lower(F.upper(composed)), "ς", "σ")
+    folded = F.replace(F.translate(F.lower(F.upper(composed)), "ς", "σ"), F.lit("ß"), F.lit("ss"))
     marked = F.regexp_replace(folded, r"(?<=\p{Nd})[.,](?=\p{Nd})", DECIMAL)
     return F.regexp_replace(marked, r"[\p{P}\p{Z}\p{C}\s]+", "")
 

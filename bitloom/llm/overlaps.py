@@ -28,7 +28,7 @@ def folded(text: Column) -> Column:
     """Lower case without accents, also those of ligatures."""
     flat = F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), text, F.lit(True)), r"\p{M}+", "")).otherwise(text)
     lower = F.translate(F.lower(F.upper(flat)), "ς", "σ")
-    return F.replace(F.replace(lower, F.lit("œ"), F.lit("oe")), F.lit("æ"), F.lit("ae"))
+    return F.replace(F.replace(F.replace(lower, F.lit("œ"), F.lit("oe")), F.lit("æ"), F.lit("ae")), F.lit("ß"), F.lit("ss"))
 
 
 def words_of(text: Column) -> Column:

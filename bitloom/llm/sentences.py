@@ -45,7 +45,7 @@ SEED = (
     "Die Proben wurden z. B. im Mai genommen.", "Dr. Weber maß ca. 4,5 Prozent mehr.", "Die Netze bzw. die Reusen standen leer.", "Warum fehlen die Fische?", "Im Jahr 1999 war es d. h. im Herbst kälter.", "Nach Angaben von Prof. Lang stimmt das.",
     "La captura subió un 4,2 por ciento, p. ej. en mayo.", "El Dr. Pérez midió 40 peces.", "¿Por qué bajó la población?", "La Sra. Ruiz vive en la av. Mayor.", "En 2001 no hubo cambios.", "¡No quedaba nada!",
     "Mr. Hill met Mrs. Dale at St. Ives.", "It weighed approx. 3 kg.", "See Fig. 4 and Sect. 2.", "They kept cod, hake, etc.", "The boat came back at 9 p.m.", "It belongs to Reed Fish Co.", "J. K. Moss wrote vol. 2, p. 14.",
-    "M. Roy et Mme Paré ont vu env. 12 phoques.", "Voir fig. 3 et tabl. 2.", "Certains, p. ex. les crabes, restent.", "Elle travaille pour Roy inc.", "Il a plu, etc.", "pH rose to 8.", "2,5 kg ont été pris.", "Was it lost?", "It sank!",
+    "M. Roy et Mme Paré ont vu env. 12 phoques.", "Voir fig. 3 et tabl. 2.", "Certains, p. ex. les crabes, restent.", "Elle travaille pour Roy inc.", "Il a plu, etc.", "pH rose to 8.", "Il date du 4 sept. 2021.", "Le 3 janv. 1999, il a plu.", "It came on 3 Oct. 1999.", "The Feb. 2 haul, no. 5, was small.", "2,5 kg ont été pris.", "Was it lost?", "It sank!",
 )
 
 
