@@ -199,8 +199,10 @@ entries as (select en, arg_max(fr, (count, -first)) as fr, max(count) as count,
 """
 
 def _norm(c: str, cased: bool = False) -> str:
-    """Words of a text between single spaces, for tests of whole words by ``contains``."""
-    return f"' ' || regexp_replace({c if cased else f'lower({c})'}, '[^\\pL\\pN\\pM_]', ' ', 'g') || ' '"
+    """A text with spaces for what is no word, for tests of whole words by ``contains``. Other white space
+    gets a mark, as a term's space is a plain one."""
+    text = c if cased else f"lower({c})"
+    return f"' ' || regexp_replace(regexp_replace({text}, '[\\t\\n\\r\\x{{00A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{3000}}]', ' ¦ ', 'g'), '[^\\pL\\pN\\pM_¦]', ' ', 'g') || ' '"
 
 
 _GLOSSARY = "(select distinct category, trim(french) as french, trim(english) as english from glossary where trim(french) <> '' and trim(english) <> '')"
