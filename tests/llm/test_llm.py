@@ -303,6 +303,22 @@ def test_spam(spark):
     assert spam.found_spam(base.limit(0)).isEmpty()
 
 
+def test_spam_of_other_scripts_at_any_size(spark):
+    base = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang").where("lang in ('en', 'fr')")
+    prose = {
+        "zh": "底层水温上升到{}度，资源量随之下降。调查船在附近的海域设置了{}个站点，专家组认为种群尚未恢复。", "hi": "समिति ने कहा कि भंडार अभी भी कम है। पानी का तापमान {} डिग्री तक बढ़ गया और {} टन मछली पकड़ी गई। ",
+        "ja": "水温は{}度まで上昇し、資源量は減少した。委員会は{}年に追加の調査が必要だと述べた。", "th": "คณะทำงานเห็นว่าจำนวนปลายังไม่ฟื้นตัว ในปี{}จับปลาได้{}ตันที่อ่าว ", "ru": "Комиссия сообщила, что в {} году запас рыбы был ещё низким, и судно за {} дней обошло залив. ",
+    }
+    words = {"zh": "鳕鱼 价格 优惠 购买 ", "hi": "सस्ती मछली खरीदें ऑनलाइन छूट ", "ja": "激安 鮭 通販 送料無料 ", "th": "ปลาค็อด ราคาถูก ซื้อ สด ", "ru": "купить рыбу дёшево онлайн "}
+    for n in (1, 30):
+        pages = [(10_000 + 100 * k + i, "".join(prose[lang].format(7 * i + j, 11 * i + j) for j in range(6)), lang) for k, lang in enumerate(prose) for i in range(n)]
+        pages += [(20_000 + k, text * 40, label) for k, text in enumerate(words.values()) for label in (list(words)[k],)]
+        # under another label
+        pages += [(21_000, words["zh"] * 40, None), (11_000, prose["hi"].format(1, 2) * 5, "en")]
+        both = base.unionByName(spark.createDataFrame(pages, "doc_id long, text string, lang string"))
+        assert {r["doc_id"] for r in spam.found_spam(both).where("doc_id >= 10000").collect()} == {*range(20_000, 20_005), 21_000}, n
+
+
 # all
 
 
