@@ -17,6 +17,9 @@ FREQUENT, TERMINAL = 10, 0.02
 #: Share of the lines with an opening that have no mark at their end, from which it is that of
 #: headings, captions and list entries.
 LABEL = 0.5
+#: Share of a word's uses that have an ellipsis behind them, from which one at the end may be meant; a
+#: word that is nowhere else is a fragment, however often it is cut there.
+PAUSES = 0.25
 
 _VALUES = r"""
 select match_id, side, source, trim(regexp_replace(text, '(?U)[\\s]+\\z', '')) as text
@@ -81,6 +84,20 @@ select regexp_replace(t, '(?U)(\\.\\.\\.|…)["”’»)\\]]*\\z', '') as bare3,
 from {t} where t rlike '(?U)(\\.\\.\\.|…)["”’»)\\]]*\\z' group by 1
 """
 
+# Last two words of trigrams inside values, with an ellipsis behind them and without: a cut leaves none
+# inside, so one that stands there is meant.
+_MEANT = r"""
+select bare2, sum(if(meant, inside, 0)) as meant, sum(if(meant, 0, inside)) as plain
+from (select regexp_replace(concat_ws(' ', slice(split(t, ' '), -2, 2)), '(?U)(\\.\\.\\.|…)["”’»)\\]]*\\z', '') as bare2,
+             t rlike '(?U)(\\.\\.\\.|…)["”’»)\\]]*\\z' as meant, inside from {t})
+group by bare2 having sum(if(meant, inside, 0)) > 0
+"""
+
+# Ellipses by the word before, in small letters.
+_PAUSES = r"""
+select lower(element_at(split(bare3, ' '), -1)) as word, sum(trailing) as pauses from {r} group by 1
+"""
+
 _PLAIN = r"""
 select t as bare3, sum(inside) as inside from {t} group by 1
 """
@@ -94,7 +111,9 @@ where word <> '' group by word
 _FOUND = r"""
 select e.match_id, e.side, e.source,
        case
-         when e.trails then not (coalesce(r.trailing, 0) >= 3 and coalesce(r.trailing, 0) >= coalesce(b.inside, 0))
+         when e.trails then coalesce(w.uses, 0) = 0 or not (
+           coalesce(m.meant >= m.plain, false)
+           or coalesce(r.trailing, 0) >= 3 and r.trailing >= coalesce(b.inside, 0) and coalesce(p.pauses, 0) >= {pauses} * w.uses)
          when coalesce(t.inside, 0) >= {frequent} and t.terminal <= {terminal} * (t.inside + t.terminal) then true
          when e.ended or e.listed then false
          when not e.label then true
@@ -104,6 +123,8 @@ from {e} e
 left join {t} t on e.label = t.label and e.last3 = t.t
 left join {b} b on e.trails and e.bare3 = b.bare3
 left join {r} r on e.trails and e.bare3 = r.bare3
+left join {m} m on e.trails and concat_ws(' ', slice(split(e.bare3, ' '), -2, 2)) = m.bare2
+left join {p} p on e.trails and e.word = p.word
 left join {w} w on e.word = w.word
 """
 
@@ -115,8 +136,9 @@ def judged(docs: DataFrame) -> DataFrame:
     ends = checkpointed(spark.sql(_ENDS, s=spark.sql(_SHAPED, v=spark.sql(_VALUES, docs=docs))))
     ends = checkpointed(spark.sql(_CLASSED, e=ends, o=spark.sql(_OPENINGS, e=ends, label=LABEL)))
     trigrams = checkpointed(spark.sql(_TRIGRAMS, e=ends))
-    tables = {"t": trigrams, "b": spark.sql(_PLAIN, t=trigrams), "r": spark.sql(_TRAILING, t=trigrams), "w": spark.sql(_WORDS, e=ends)}
-    return spark.sql(_FOUND, e=ends, frequent=FREQUENT, terminal=TERMINAL, **tables)
+    trailing = spark.sql(_TRAILING, t=trigrams)
+    tables = {"t": trigrams, "b": spark.sql(_PLAIN, t=trigrams), "r": trailing, "m": spark.sql(_MEANT, t=trigrams), "p": spark.sql(_PAUSES, r=trailing), "w": spark.sql(_WORDS, e=ends)}
+    return spark.sql(_FOUND, e=ends, frequent=FREQUENT, terminal=TERMINAL, pauses=PAUSES, **tables)
 
 
 def found_truncated(docs: DataFrame) -> DataFrame:

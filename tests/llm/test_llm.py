@@ -117,6 +117,15 @@ def test_truncation(spark):
     assert truncation.truncation_rates(df).first()["n_values"] == len(whole) + len(labels) + 3
 
 
+def test_ellipses_alike_at_any_size(spark):
+    meant = ["They waited for the hake, and waited... The nets were empty.", "Nobody came near the crab, and waited..."]
+    for n in (1, 6):
+        cut = [f"The vessel Delta {k} was near the harbour of pe..." for k in range(n)]
+        data = [(i, t, None, "s") for i, t in enumerate(meant * n + cut)]
+        df = spark.createDataFrame(data, "match_id long, en string, fr string, source string")
+        assert {r["match_id"] for r in truncation.found_truncated(df).collect()} == set(range(2 * n, 3 * n)), n
+
+
 # 5. splits
 
 
