@@ -9,7 +9,7 @@ then compared with it word by word. No shuffle.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +31,9 @@ GAP, RUN = 4, 3
 SEEDED = 0.2
 #: A word is rare if at most this share of the items has it (or only one has). So much of an item's
 #: rare words must be in its passages: sentences of the same wording about something else lack them.
-RARE_SHARE, RARE_LEAST = 0.02, 0.3
+#: Where passages of LONG words, which is more than a sentence, or one passage hold enough of the item,
+#: so much of the rare words of their own places must be: half an item need not have its rare words.
+RARE_SHARE, RARE_LEAST, LONG = 0.02, 0.3, 30
 SHARD_WORDS = 400_000
 #: Items searched in one pass over the documents; more items are searched in further passes.
 ITEM_BLOCK = 4_000
@@ -46,10 +48,20 @@ def plain(text: str) -> str:
     return HYPHEN.sub("", text).casefold()
 
 
+def usual_words(items: list[tuple[int, str]]) -> frozenset[str]:
+    """Words that aren't rare among all the items."""
+    own: dict[int, set[str]] = defaultdict(set)
+    for item, text in items:
+        own[item].update(WORD.findall(plain(text)))
+    holders = Counter(w for words in own.values() for w in words)
+    common = max(1, RARE_SHARE * sum(map(bool, own.values())))
+    return frozenset(w for w, n in holders.items() if n > common)
+
+
 class Items:
     """Coded texts of the items, and their phrases in a matrix."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], usual: frozenset[str]) -> None:
         self.codes: dict[str, int] = {}
         self.ids, self.texts = [], []
         for item, text in items:
@@ -58,11 +70,9 @@ class Items:
                 self.ids.append(item)
                 self.texts.append(np.array([self.codes.setdefault(w, len(self.codes) + OTHER + 1) for w in words], np.int64))
         self.bits = max(2, int(len(self.codes) + OTHER + 1).bit_length())
-        holders = np.zeros(len(self.codes) + OTHER + 1, np.int64)
-        for item, of_item in pd.Series(self.texts).groupby(self.ids, sort=False):
-            holders[np.unique(np.concatenate(of_item.tolist()))] += 1
-        common = max(1, RARE_SHARE * len(set(self.ids)))
-        self.rare = [holders[t] <= common for t in self.texts]
+        rare = np.ones(len(self.codes) + OTHER + 1, bool)
+        rare[[c for w, c in self.codes.items() if w in usual]] = False
+        self.rare = [rare[t] for t in self.texts]
         phrases: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
         for k, t in enumerate(self.texts):
             q = min(PHRASE, len(t))
@@ -182,13 +192,16 @@ def _shard(items: Items, texts: list[str], least: float) -> Iterator[tuple[int,
             else:
                 around.append((low, high))
         got = passages(items, k, coded[d], around)
-        words, equal = np.zeros(m, bool), np.zeros(m, bool)
+        words, equal, long = np.zeros(m, bool), np.zeros(m, bool), np.zeros(m, bool)
         for i0, i1, _, _, runs in got:
             words[i0:i1] = True
+            if i1 - i0 >= min(LONG, least * m):
+                long[i0:i1] = True
             for i, n in runs:
                 equal[i : i + n] = True
         rare = items.rare[k]
-        if got and words.sum() >= least * m and (rare.sum() < 4 or (equal & rare).sum() >= RARE_LEAST * rare.sum()):
+        whole = long.sum() >= least * m and (equal & rare & long).sum() >= RARE_LEAST * (rare & long).sum()
+        if got and words.sum() >= least * m and (whole or rare.sum() < 4 or (equal & rare).sum() >= RARE_LEAST * rare.sum()):
             yield d, k, got
 
 
@@ -222,13 +235,14 @@ def leak_spans(documents: DataFrame, items: DataFrame, least: float = LEAST) ->
     are the stated query set. Documents are never collected.
     """
     texts = [(r["item_id"], r[side]) for r in items.select("item_id", "source_text", "target_text").collect() for side in ("source_text", "target_text") if r[side] and r["item_id"] is not None]
+    usual = documents.sparkSession.sparkContext.broadcast(usual_words(texts))
     schema = "doc_id long, item_id long, start_pos int, end_pos int"
     out = None
     for first in range(0, max(len(texts), 1), 2 * ITEM_BLOCK):
         shared = documents.sparkSession.sparkContext.broadcast(texts[first : first + 2 * ITEM_BLOCK])
 
         def find(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            known = Items(shared.value)
+            known = Items(shared.value, usual.value)
             if not known.texts:
                 return
             for batch in batches:

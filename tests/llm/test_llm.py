@@ -300,6 +300,20 @@ def test_leaks(spark):
     assert leaks.found_leaks(docs, items.limit(0)).isEmpty() and leaks.found_leaks(docs.limit(0), items).isEmpty()
 
 
+def test_leaks_without_the_rare_words(spark, monkeypatch):
+    rng = random.Random(8)
+    usual = [f"usual{i}" for i in range(400)]
+    spread = [[rng.choice(usual) for _ in range(50)] + [f"rare{k}x{i}" for i in range(50)] for k in range(40)]
+    texts = [*spread, usual]
+    items = spark.createDataFrame([(k, " ".join(t), None) for k, t in enumerate(texts)], "item_id long, source_text string, target_text string")
+    # the half that has no rare word, and less than half
+    docs = spark.createDataFrame([(1, " ".join(["a"] * 9 + spread[3][:50] + ["b"] * 9)), (2, " ".join(spread[4][:40])), (3, " ".join(spread[5][50:]))], "doc_id long, text string")
+    want = [(1, 3), (3, 5)]
+    assert rows(leaks.found_leaks(docs, items)) == want
+    monkeypatch.setattr(leaks, "ITEM_BLOCK", 1)
+    assert rows(leaks.found_leaks(docs, items.where("item_id in (3, 4, 5, 40)"))) == want
+
+
 # 10. spam
 
 
