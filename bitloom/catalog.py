@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitloom.functions import features as X
@@ -63,31 +63,38 @@ def _files(s: SparkSession, d: str) -> DataFrame:
     return c.select(F.explode(F.array("filename_fr", "filename_en")).alias("name")).select(F.concat(F.lit("root/"), "name").alias("path")).where("path is not null").distinct()
 
 
+def _en() -> Column:
+    return F.col("en")
+
+
+def _fr() -> Column:
+    return F.col("fr")
+
+
 #: Floor of similarity that fits the stand-in encoder, which knows no translations.
 _STAND_IN = 0.3
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    en, fr = F.col("en"), F.col("fr")
     return {
         # selection of bitext
         "curation_summary": lambda s, d: selection.curation_summary(_bitext(s, d)),
-        "len_clause_ratio": lambda s, d: _whole(s, d).select("match_id", F.round(X.len_ratio(fr, en), 6).alias("len_ratio"), F.round(X.clause_ratio(fr, en), 6).alias("clause_ratio")),
-        "tag_ratios": lambda s, d: _whole(s, d).select("match_id", *[F.round(X.tag_ratio(fr, en, w), 6).alias(f"{w}_ratio") for w in ("verbs", "nouns", "entities")]),
-        "flag_too_short": lambda s, d: _whole(s, d).select("match_id", X.too_short(en, fr).alias("exclude_too_short")),
-        "flag_dates": lambda s, d: _whole(s, d).select("match_id", (X.has_date(en) | X.has_date(fr)).alias("has_date_refs")),
-        "flag_figtext": lambda s, d: _whole(s, d).select("match_id", X.figure_text(en, fr).alias("exclude_figtext")),
-        "figure_flags": lambda s, d: _whole(s, d).select("match_id", *[c.alias(n) for n, c in X.figure_flags(en, "en").items()]),
-        "number_mismatch": lambda s, d: _whole(s, d).select("match_id", X.number_mismatch(en, fr).alias("has_number_mismatch")),
-        "ocr_issue": lambda s, d: _whole(s, d).select("match_id", X.ocr_issue(en, fr).alias("OCR_issue")),
-        "language_id": lambda s, d: _whole(s, d).select("match_id", X.language(en).alias("en_language"), X.language(fr).alias("fr_language")),
+        "len_clause_ratio": lambda s, d: _whole(s, d).select("match_id", F.round(X.len_ratio(_fr(), _en()), 6).alias("len_ratio"), F.round(X.clause_ratio(_fr(), _en()), 6).alias("clause_ratio")),
+        "tag_ratios": lambda s, d: _whole(s, d).select("match_id", *[F.round(X.tag_ratio(_fr(), _en(), w), 6).alias(f"{w}_ratio") for w in ("verbs", "nouns", "entities")]),
+        "flag_too_short": lambda s, d: _whole(s, d).select("match_id", X.too_short(_en(), _fr()).alias("exclude_too_short")),
+        "flag_dates": lambda s, d: _whole(s, d).select("match_id", (X.has_date(_en()) | X.has_date(_fr())).alias("has_date_refs")),
+        "flag_figtext": lambda s, d: _whole(s, d).select("match_id", X.figure_text(_en(), _fr()).alias("exclude_figtext")),
+        "figure_flags": lambda s, d: _whole(s, d).select("match_id", *[c.alias(n) for n, c in X.figure_flags(_en(), "en").items()]),
+        "number_mismatch": lambda s, d: _whole(s, d).select("match_id", X.number_mismatch(_en(), _fr()).alias("has_number_mismatch")),
+        "ocr_issue": lambda s, d: _whole(s, d).select("match_id", X.ocr_issue(_en(), _fr()).alias("OCR_issue")),
+        "language_id": lambda s, d: _whole(s, d).select("match_id", X.language(_en()).alias("en_language"), X.language(_fr()).alias("fr_language")),
         "low_similarity": lambda s, d: _bitext(s, d).where(F.col("similarity") < X.LOW).select("match_id", "similarity"),
-        "tiered_ratio_bounds": lambda s, d: _whole(s, d).select("match_id", X.outside_tier(X.len_ratio(fr, en), F.col("similarity"), "len_ratio").alias("exclude_len_ratio"), X.outside_tier(X.clause_ratio(fr, en), F.col("similarity"), "clause_ratio").alias("exclude_clause_ratio")),
-        "log_thresholds": lambda s, d: selection.log_thresholds(_whole(s, d).select(X.len_ratio(fr, en).alias("len_ratio"), X.clause_ratio(fr, en).alias("clause_ratio")), ("len_ratio", "clause_ratio")),
+        "tiered_ratio_bounds": lambda s, d: _whole(s, d).select("match_id", X.outside_tier(X.len_ratio(_fr(), _en()), F.col("similarity"), "len_ratio").alias("exclude_len_ratio"), X.outside_tier(X.clause_ratio(_fr(), _en()), F.col("similarity"), "clause_ratio").alias("exclude_clause_ratio")),
+        "log_thresholds": lambda s, d: selection.log_thresholds(_whole(s, d).select(X.len_ratio(_fr(), _en()).alias("len_ratio"), X.clause_ratio(_fr(), _en()).alias("clause_ratio")), ("len_ratio", "clause_ratio")),
         "train_select": lambda s, d: selection.training_rows(_flags(s, d)).select("match_id", "en", "fr"),
         "test_select": lambda s, d: _flags(s, d).where("for_test").select("match_id"),
         "docx_select": lambda s, d: selection.file_selection(_bitext(s, d), table(s, d, "glossary")).select("match_id", "exclude", "is_duplicate", "unmatched_lexical_constraints"),
-        "dedup_kept": lambda s, d: selection.mark_duplicates(_whole(s, d), ~X.too_short(en, fr)).select("match_id", "is_duplicate"),
+        "dedup_kept": lambda s, d: selection.mark_duplicates(_whole(s, d), ~X.too_short(_en(), _fr())).select("match_id", "is_duplicate"),
         "jsonl_bidirectional": lambda s, d: selection.both_directions(_whole(s, d)),
         "tuning_records": lambda s, d: selection.usable_for_tuning(selection.both_directions(_bitext(s, d)), "en"),
         "validation_split": lambda s, d: selection.hash_split(table(s, d, "training_data").select("train_id"), "train_id"),
@@ -98,23 +105,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trigger_counts": lambda s, d: diagnostics.trigger_counts(_flags(s, d), ["exclude_figtext", "exclude_too_short", "has_date_refs", "has_number_mismatch", "exclude_low_similarity"]),
         "describe_bitext": lambda s, d: diagnostics.describe(_bitext(s, d).withColumns({"n_en": F.length("en"), "n_fr": F.length("fr")}), ["similarity", "n_en", "n_fr"]),
         # text
-        "clean_text": lambda s, d: _whole(s, d).select("match_id", T.clean_text(en).alias("en"), T.clean_text(fr).alias("fr")),
+        "clean_text": lambda s, d: _whole(s, d).select("match_id", T.clean_text(_en()).alias("en"), T.clean_text(_fr()).alias("fr")),
         "split_text": lambda s, d: _sides(s, d).select("match_id", "lang", F.posexplode(T.split_sentences(F.col("text"))).alias("pos", "sentence")),
         "sentence_split": lambda s, d: _sides(s, d).select("match_id", "lang", F.posexplode(T.label_sentences(F.col("text"))).alias("pos", "sentence")),
         "sentence_drop_marks": lambda s, d: _sides(s, d).select("match_id", "lang", F.size(T.split_dropping_marks(F.col("text"))).alias("n")),
         "sentence_lengths": lambda s, d: _sides(s, d).select("match_id", "lang", F.size(T.of_length(T.split_sentences(F.col("text")), 10, 500)).alias("n")),
         "paragraph_filter": lambda s, d: _sides(s, d).select("match_id", "lang", T.clean_text(F.col("text")).alias("text")).where(F.length("text") >= 30),
         "language_blocks": lambda s, d: _sides(s, d).where(X.language(T.clean_text(F.col("text"))) == F.col("lang")).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(T.clean_text(F.col("text")))).alias("chars")),
-        "append_period": lambda s, d: _whole(s, d).select("match_id", T.append_period(en).alias("en")),
+        "append_period": lambda s, d: _whole(s, d).select("match_id", T.append_period(_en()).alias("en")),
         "chunk_sentences": lambda s, d: _sides(s, d).select("match_id", "lang", F.explode(T.sentence_chunks(F.col("text"))).alias("c")).select("match_id", "lang", "c.*"),
         "chunk_reassemble": lambda s, d: table(s, d, "documents").select("doc_id", T.reassemble(T.paragraph_chunks(F.col("text"))).alias("text")),
-        "label_prefix": lambda s, d: _whole(s, d).select("match_id", T.label_prefix(en).alias("x")).select("match_id", "x.*").where("label is not null"),
-        "unified_spaces": lambda s, d: _whole(s, d).select("match_id", T.unified_spaces(fr).alias("fr")),
-        "markup_stripped": lambda s, d: _terms(s, d).select("row_id", T.without_markup(en).alias("en"), T.has_markup(en).alias("formatted")),
+        "label_prefix": lambda s, d: _whole(s, d).select("match_id", T.label_prefix(_en()).alias("x")).select("match_id", "x.*").where("label is not null"),
+        "unified_spaces": lambda s, d: _whole(s, d).select("match_id", T.unified_spaces(_fr()).alias("fr")),
+        "markup_stripped": lambda s, d: _terms(s, d).select("row_id", T.without_markup(_en()).alias("en"), T.has_markup(_en()).alias("formatted")),
         "markup_runs": lambda s, d: documents.markup_runs(_terms(s, d), "row_id", "en").select("row_id", F.size("runs").alias("n_runs"), F.array_join(F.transform("runs", lambda r: r["text"]), "").alias("text")),
         "file_names": lambda s, d: table(s, d, "correlation").select("filename_fr", T.document_of_file(F.regexp_replace("filename_fr", "\\.pdf$", "")).alias("x")).where("filename_fr is not null").select("filename_fr", "x.document_name", "x.lang", "x.is_erratum").distinct(),
-        "punct_spacing_en": lambda s, d: _whole(s, d).select("match_id", X.punctuation_spacing(en, "en").alias("en")),
-        "punct_spacing_fr": lambda s, d: _whole(s, d).select("match_id", X.punctuation_spacing(fr, "fr").alias("fr")),
+        "punct_spacing_en": lambda s, d: _whole(s, d).select("match_id", X.punctuation_spacing(_en(), "en").alias("en")),
+        "punct_spacing_fr": lambda s, d: _whole(s, d).select("match_id", X.punctuation_spacing(_fr(), "fr").alias("fr")),
         "numeric_locale": lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber", X.convert_numeric(F.format_string("%.2f", "l_extendedprice"), True).alias("fr"), X.is_numeric(F.format_string("%.2f", "l_extendedprice")).alias("numeric")),
         "good_paragraphs": lambda s, d: diagnostics.good_paragraphs(table(s, d, "documents"), "doc_id", "text"),
         # files

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; only where it is unset (tests, a
-    single machine) a temporary folder is made."""
+    """Use the folder named by ``spark.checkpoint.dir``. Where it is unset, a session on a single
+    machine gets a temporary one, removed at the end; on a cluster, whose executors would not share
+    it, that is an error."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="bitloom-checkpoint-"))
+    if folder is None:
+        master = context.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="bitloom-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
