@@ -53,8 +53,54 @@ firsts as (select *, min(row_id) over (partition by k) as first_id from keyed)
 """
 
 
+#: The truncated values of problem 4: prefixes are counted outright here.
+_TRUNCATED = f"""
+with given as (select match_id, source, 'en' as side, rtrim(en, '{truncation.BLANKS}') as t from matched_docx_data union all select match_id, source, 'fr', rtrim(fr, '{truncation.BLANKS}') from matched_docx_data),
+cut as (
+  select match_id, source, side, regexp_extract_all(t, '{truncation.TOKEN}') as raw, not regexp_matches(t, '{truncation.MARKED}') as unmarked,
+         array_to_string(list_transform(regexp_extract_all(string_split_regex(t, '[\n\r]+')[-1], '{truncation.TOKEN}')[1:2], lambda x: case when regexp_matches(x, '{truncation.NUMBER}') then '#' else lower(x) end), ' ') as opening
+  from given where t <> ''),
+labels as (
+  select opening, (count(*) filter (where unmarked) + {truncation.LABEL_PRIOR} * (select count(*) filter (where unmarked) / count(*) from cut)) / (count(*) + {truncation.LABEL_PRIOR}) >= {truncation.LABEL} as label
+  from cut group by opening),
+worded as (
+  select match_id, source, side, label, list_transform(raw, lambda x: case when regexp_matches(x, '{truncation.NUMBER}') then '#' when starts_with(x, '...') then '…' when regexp_matches(x, '{truncation.CAPITAL}') then '§' else lower(x) end) as ws
+  from cut join labels using (opening)),
+whole as (select *, len(ws) > 1 and ws[-1] = '…' as trails, case when len(ws) > 1 and ws[-1] = '…' then len(ws) - 1 else len(ws) end as k, ['^', '^'] || ws as ps from worded),
+t as (
+  select label, w1, w2, w3, count(*) filter (where not last) as inside, count(*) filter (where last) as terminal
+  from (select label, ps[i] as w1, ps[i + 1] as w2, ps[i + 2] as w3, i = len(ws) as last from (select *, unnest(range(1, len(ws) + 1)) as i from whole)) group by all),
+usual as (select label, sum(terminal) / (sum(terminal) + sum(inside)) as usual from t group by label),
+heads as (
+  select label, w1, w2, w3[1:n] as w, case when n = len(w3) then inside else inside + terminal end as i, case when n = len(w3) then terminal else 0 end as e, case when n = len(w3) then inside else 0 end as x
+  from (select *, unnest(range(1, len(w3) + 1)) as n from t)),
+h3 as (select label, w1, w2, w, sum(i) as i, sum(e) as e from heads group by all),
+h2 as (select label, w2, w, sum(i) as i, sum(e) as e from heads group by all),
+h1 as (select label, w, sum(i) as i, sum(e) as e, sum(x) as x from heads group by all),
+p2 as (select label, w1, w2, sum(inside) as i, sum(terminal) as e from t where w3 = '…' group by all),
+p1 as (select label, w2, sum(inside) as i, sum(terminal) as e from t where w3 = '…' group by all),
+ends as (select match_id, source, side, label, trails, ps[k] as w1, ps[k + 1] as w2, ps[k + 2] as w3 from whole where k > 0),
+shares as (
+  select match_id, source, side, trails,
+         ((coalesce(h3.e, 0) - 1) + {truncation.PRIOR} * ((coalesce(h2.e, 0) - 1) + {truncation.PRIOR} * ((coalesce(h1.e, 0) - 1) + {truncation.PRIOR} * usual) / (coalesce(h1.i, 0) + (coalesce(h1.e, 0) - 1) + {truncation.PRIOR})) / (coalesce(h2.i, 0) + (coalesce(h2.e, 0) - 1) + {truncation.PRIOR})) / (coalesce(h3.i, 0) + (coalesce(h3.e, 0) - 1) + {truncation.PRIOR}) as share,
+         (coalesce(p2.i + p2.e, 0) - 1 + {truncation.PRIOR} * (coalesce(p1.i + p1.e, 0) - 1) / (coalesce(h1.i, 0) - 1 + {truncation.PRIOR})) / (coalesce(h2.i, 0) - 1 + {truncation.PRIOR}) as meant,
+         coalesce(h1.x, 0) - coalesce(p1.i + p1.e, 0) + coalesce(p1.i, 0) as uses, coalesce(p1.e, 0) - 1 as paused
+  from ends join usual using (label)
+  left join h3 on h3.label = ends.label and h3.w1 = ends.w1 and h3.w2 = ends.w2 and h3.w = ends.w3
+  left join h2 on h2.label = ends.label and h2.w2 = ends.w2 and h2.w = ends.w3
+  left join h1 on h1.label = ends.label and h1.w = ends.w3
+  left join p2 on trails and p2.label = ends.label and p2.w1 = ends.w2 and p2.w2 = ends.w3
+  left join p1 on trails and p1.label = ends.label and p1.w2 = ends.w3),
+found as (
+  select match_id, side, source from shares
+  where case when trails then not (uses > {truncation.WORD} * (uses + paused) and meant > {truncation.MEANT}) else share <= {truncation.TERMINAL} end)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_found": _TRUNCATED + "select match_id, side from found",
+        "p4_rates": _TRUNCATED + "select source, count(*) as n_values, count(f.match_id) as n_truncated, count(f.match_id) / count(*) as rate from cut left join (select match_id, side from found) f using (match_id, side) group by source",
         "p1_found": _NORMAL + "select first_id as row_a, row_id as row_b from firsts where first_id <> row_id",
         "p1_records": _NORMAL + "select first_id as row_id, min(en) filter (where row_id = first_id) as en, min(fr) filter (where row_id = first_id) as fr, count(*) as n_copies, cast(sum(count) as bigint) as total_count from firsts group by first_id",
     }
