@@ -155,18 +155,31 @@ def test_components(spark, bound):
 
 
 @pytest.mark.parametrize("common", [2, 5, 100])
-def test_common_values_against_brute_force(spark, common):
+def test_common_values_against_brute_force(spark, common, monkeypatch):
     rng = random.Random(2)
     held = {f"d{i:02}": {min(int(rng.expovariate(0.12)), 60) for _ in range(rng.randrange(12))} for i in range(60)}
     want = find_all([(a, b) for a, b in itertools.combinations(sorted(held), 2) if len(held[a] & held[b]) >= 4])
     df = spark.createDataFrame([(n, v, 0) for n, vs in held.items() for v in vs], "name string, h1 long, h2 long")
+    # without the first edges all has to come from the exact part
+    monkeypatch.setattr(splits, "tuple_edges", lambda held, least: held.limit(0).select(F.col("name").alias("u"), F.col("name").alias("v")))
+    assert set(rows(graph.components(splits.common_value_edges(df, common=common)))) == want
+    monkeypatch.undo()
     assert set(rows(graph.components(splits.common_value_edges(df.union(df), common=common)))) == want
 
 
+def test_edges_of_common_values_are_few(spark):
+    for values in (8, 32):
+        df = spark.range(80 * values).select(F.concat(F.lit("d"), F.col("id") % 80).alias("name"), (F.col("id") / 80).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"))
+        edges = splits.common_value_edges(df)
+        assert edges.count() <= 80 * splits.TUPLES and graph.components(edges).count() == 79
+
+
 def test_publication_keys(spark):
     names = ["RD 2012-0001 X", "rd-2012-1-x", "2012-0001 RD X", "X (RD 2012/0001)", "RD_2012_0001_X", "RD2012-0001 - X", "TN 1998/1 review of 2009-2012 data, L", "card 2012-1", None]
-    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", splits.publication_key(F.col("n")).alias("k"))
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", splits.publication_key(F.col("n"), ["RD", "TN"]).alias("k"))
     assert [r["k"] for r in df.collect()] == ["RD-2012-1"] * 6 + ["TN-1998-1", None, None]
+    many = spark.range(1000).select(F.concat(F.when(F.col("id") % 3 == 0, "QX").when(F.col("id") == 1, "card").otherwise("zz"), F.lit(" 2012-"), "id").alias("name"))
+    assert splits.series_codes(many) == ["QX", "ZZ"] and splits.series_codes(many.limit(0)) == []
 
 
 def test_splits_keep_groups_and_shares(spark):
