@@ -101,6 +101,18 @@ def test_alignment_of_long_documents_in_blocks(spark):
     data = [("long", i, f"The vessel Mark landed {1000 + i} kg of cod.", f"Le navire Mark a débarqué {1000 + i} kg de morue.") for i in range(1000)]
     got = alignment.aligned(spark.createDataFrame(data, "document_name string, pos int, en string, fr string"), model).collect()
     assert sum(r["en_pos"] == r["fr_pos"] for r in got) > 980 and len(got) < 1020
+    # French lacks the first part, and a part of the rest has moved to the end
+    kept = [*range(600, 900), *range(1200, 1700), *range(900, 1200)]
+    data = [("long", i, f"The vessel Mark landed {1000 + i} kg of cod.", None) for i in range(1700)] + [("long", j, None, f"Le navire Mark a débarqué {1000 + i} kg de morue.") for j, i in enumerate(kept)]
+    got = alignment.aligned(spark.createDataFrame(data, "document_name string, pos int, en string, fr string").repartition(3), model).collect()
+    assert sum(kept[r["fr_pos"]] == r["en_pos"] for r in got) > 1060 and len(got) < 1140
+
+
+def test_alignment_of_three_in_one(spark):
+    model = alignment.fitted(table(spark, "/root/testdata/sf0.01", "docx_sentences"))
+    en = ["Divers counted 12 hake.", "The vessel Mark landed 4,003 kg of cod.", "Divers counted 7 skate.", "Divers counted 31 cod."]
+    fr = ["Les plongeurs ont compté 12 merluche.", "Le navire Mark a débarqué 4\xa0003 kg de morue; les plongeurs ont compté 7 raie; les plongeurs ont compté 31 morue."]
+    assert set(alignment.align(en, fr, model)) == {(0, 0), (1, 1), (2, 1), (3, 1)}
 
 
 # 4. truncation
