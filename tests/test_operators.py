@@ -4,6 +4,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from bitloom.operators import diagnostics, documents, evaluation, glossary, selection, similarity, terms
+from bitloom.plans.prune import key_filter, pruned
 from bitloom.plans.skew import lookup
 from bitloom.sources import docx, files, sinks
 from bitloom.streaming import flags
@@ -25,6 +26,15 @@ def test_lookup_salts_hot_keys(spark):
     assert lookup(many.limit(0), groups.limit(0), ["k"], "n", F.col("id")).isEmpty()
 
 
+def test_pruning_keeps_every_partner(spark):
+    many, few = spark.range(200_000), spark.range(0, 200_000, 400)
+    kept = pruned(many, "id", key_filter(few, "id"))
+    assert kept.join(few, "id").count() == 500 and kept.count() < 700
+    odd = spark.createDataFrame([("a", 1), (None, 2)], "id string, n int")
+    assert rows(pruned(odd, "id", key_filter(odd, "id"))) == [("a", 1)]
+    assert pruned(odd, "id", key_filter(odd.limit(0), "id")).isEmpty()
+
+
 def test_train_and_test_are_disjoint(spark):
     text = "The committee discussed the rate of the stock, and nothing else was said about it."
     data = [(1, text, "Le comité a discuté du taux de capture, et rien d'autre n'a été dit à ce sujet.", 0.95, "a"), (2, "x", "y", 0.5, "a"), (3, None, "y", None, None), (4, text, text, float("nan"), "a")]
