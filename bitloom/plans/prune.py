@@ -7,29 +7,28 @@ from pyspark.sql import functions as F
 
 from bitloom.plans.materialize import checkpointed
 
-#: Bits of the filter: BUCKETS rows of WORDS words of 64 bits, 8 MB whatever the number of keys. The more
-#: keys there are, the fewer rows it leaves out; it never leaves out one that has a partner.
-BUCKETS, WORDS = 2048, 512
+#: Cells of 64 bits: a filter has at most this many rows (about 20 MB) whatever the number of keys. The
+#: more keys there are, the fewer rows it leaves out; it never leaves out one that has a partner.
+CELLS = 1 << 19
 
 
-def _places(key: Column) -> tuple[Column, Column, Column]:
-    h = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(BUCKETS * WORDS * 64))
-    return (h % BUCKETS).cast("int"), F.floor(h / BUCKETS / 64).cast("int"), (F.floor(h / BUCKETS) % 64).cast("int")
+def _place(key: Column) -> tuple[Column, Column]:
+    h = F.xxhash64(key, F.lit(17))
+    return F.shiftrightunsigned(h, 6) % CELLS, h.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
 
 def key_filter(keys: DataFrame, key: str) -> DataFrame:
-    """The filter of the keys in column ``key``: (__bucket, __bits), a row per bucket that has any."""
-    bucket, word, bit = _places(F.col(key))
-    bits = keys.where(F.col(key).isNotNull()).select(bucket.alias("__bucket"), word.alias("w"), bit.alias("b")).groupBy("__bucket", "w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("x"))
-    of = F.map_from_entries(F.collect_list(F.struct("w", "x")))
-    each = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.coalesce(F.element_at(F.col("m"), i.cast("int")), F.lit(0).cast("long")))
-    # at most BUCKETS x WORDS of them
-    return checkpointed(bits.groupBy("__bucket").agg(of.alias("m")).select("__bucket", each.alias("__bits")))
+    """The filter of the keys in column ``key``: (__cell, __bits) of each cell that has any."""
+    cell, bit = _place(F.col(key))
+    return checkpointed(keys.where(F.col(key).isNotNull()).select(cell.alias("__cell"), _bit(bit).alias("b")).groupBy("__cell").agg(F.bit_or("b").alias("__bits")))
 
 
 def pruned(rows: DataFrame, key: str, of: DataFrame) -> DataFrame:
     """Rows of ``rows`` whose ``key`` may be among the keys of the filter ``of``; null keys are not."""
-    bucket, word, bit = _places(F.col(key))
-    placed = rows.where(F.col(key).isNotNull()).withColumn("__bucket", bucket)
-    hit = placed.join(F.broadcast(of), "__bucket").where(F.get("__bits", word).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bit)) != 0)
+    cell, bit = _place(F.col(key))
+    hit = rows.where(F.col(key).isNotNull()).withColumn("__cell", cell).join(F.broadcast(of), "__cell").where(F.col("__bits").bitwiseAND(_bit(bit)) != 0)
     return hit.select(*rows.columns)
