@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitloom.plans.materialize import checkpointed
-from bitloom.plans.skew import lookup
+from bitloom.plans.prune import key_filter, pruned
+from bitloom.plans.skew import HOT_SHARE, lookup
 
 #: One word of so many may differ.
 PER = 8
@@ -84,29 +85,48 @@ def rarest(places: list[int], counts: list[int], width: int, many: int) -> list[
 
 
 def _texts(rows: DataFrame) -> DataFrame:
-    """(train_id, evaluation, side, h1, h2, words): a row per text that has words."""
+    """(train_id, evaluation, side, h1, h2, words): a row per text that has words, joined by spaces."""
     both = rows.select("train_id", (F.coalesce(F.col("split_name"), F.lit("")) != "train").alias("evaluation"), F.explode(F.create_map(F.lit("en"), F.col("en"), F.lit("fr"), F.col("fr"))).alias("side", "text"))
-    worded = both.where(F.length("text") > 0).select("train_id", "evaluation", "side", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
+    worded = both.where(F.length("text") > 0).select("train_id", "evaluation", "side", F.array_join(words_of(F.col("text")), " ").alias("words")).where("words <> ''")
     return worded.withColumns({"h1": F.xxhash64("side", "words"), "h2": F.xxhash64("words", "side")})
 
 
-def _grams(words: str, width: Column) -> Column:
-    return F.when(F.size(words) >= width, F.transform(F.sequence(F.lit(0), F.size(words) - width), lambda i: F.struct(F.xxhash64("side", F.slice(F.col(words), i + 1, width)).alias("g"), i.cast("int").alias("pos")))).otherwise(F.array().cast("array<struct<g: bigint, pos: int>>"))
+def _grams(width: int) -> Column:
+    """Hashes and places of the runs of ``width`` words, from the hashes of words."""
+    run = lambda i: F.xxhash64("side", *[F.get("hashes", i + j) for j in range(width)])
+    return F.when(F.col("n") >= width, F.transform(F.sequence(F.lit(0), F.col("n") - width), lambda i: F.struct(run(i).alias("g"), i.cast("int").alias("pos")))).otherwise(F.array().cast("array<struct<g: bigint, pos: int>>"))
+
+
+def _signature(shift: int) -> Column:
+    """64 bits, one for each different word."""
+    return F.aggregate("hashes", F.lit(0).cast("long"), lambda s, h: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _met(posted: DataFrame, segments: DataFrame) -> DataFrame:
+    """``posted`` joined with ``segments`` on g: a segment that much of train holds is spread over salts
+    by the training text, and its evaluation texts are repeated for each."""
+    posted = checkpointed(posted)
+    sizes = checkpointed(posted.groupBy("g").agg(F.count(F.lit(1)).alias("size")))
+    least = max((sizes.agg(F.sum("size")).first()[0] or 0) // HOT_SHARE, 1)
+    salts = F.broadcast(sizes.where(F.col("size") > least).select("g", F.ceil(F.col("size") / least).cast("int").alias("salts")))  # at most HOT_SHARE rows
+    of_train = posted.join(salts, "g", "left").withColumn("salt", F.pmod(F.xxhash64("t"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    of_eval = segments.join(salts, "g", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return of_train.join(of_eval, ["g", "salt"])
 
 
 def text_links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct texts (side, h1, h2, words, n_eval, n_train), and links (e1, e2, t1, t2) between an
+    """Distinct texts (h1, h2, side, words, n_eval, n_train and others), and links (e1, e2, t1, t2) between an
     evaluation text and a training text that differs from it, but little."""
-    own = checkpointed(texts.groupBy("h1", "h2").agg(F.any_value("side").alias("side"), F.any_value("words").alias("words"), F.sum(F.col("evaluation").cast("long")).alias("n_eval"), F.sum((~F.col("evaluation")).cast("long")).alias("n_train")))
+    own = texts.groupBy("h1", "h2").agg(F.any_value("side").alias("side"), F.any_value("words").alias("words"), F.sum(F.col("evaluation").cast("long")).alias("n_eval"), F.sum((~F.col("evaluation")).cast("long")).alias("n_train"))
+    own = checkpointed(own.withColumn("hashes", F.transform(F.split("words", " "), lambda w: F.xxhash64(w))).withColumns({"s1": _signature(0), "s2": _signature(6)}))
     # d <= max(n, m) / PER and m <= n + d give d <= n / (PER - 1)
-    slack = F.expr(f"cast(floor(size(words) / {PER - 1}) as int)")
-    own = own.withColumns({"n": F.size("words"), "k": slack})
+    own = own.withColumns({"n": F.size("hashes"), "k": F.floor(F.size("hashes") / (PER - 1)).cast("int")})
     train = own.where((F.col("n_train") > 0) & (F.col("n") >= SHORT - 1))
-    short = F.when(F.col("n") <= SHORT + 1, _grams("words", F.lit(SHORT_SEGMENT))).otherwise(F.array().cast("array<struct<g: bigint, pos: int>>"))
-    posted = train.select(F.col("h1").alias("t"), F.col("n").alias("m"), F.explode(F.concat(_grams("words", F.lit(SEGMENT)), short)).alias("x")).select("x.g", "t", "m", F.col("x.pos").alias("tpos"))
+    short = F.when(F.col("n") <= SHORT + 1, _grams(SHORT_SEGMENT)).otherwise(F.array().cast("array<struct<g: bigint, pos: int>>"))
+    posted = train.select(F.col("h1").alias("t"), F.col("n").alias("m"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.explode(F.concat(_grams(SEGMENT), short)).alias("x")).select("x.g", "t", "m", "t1", "t2", F.col("x.pos").alias("tpos"))
     counts = posted.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
     asked = own.where((F.col("n_eval") > 0) & (F.col("n") >= SHORT))
-    windows = asked.select(F.col("h1").alias("e"), "n", "k", F.explode(F.when(F.col("n") == SHORT, _grams("words", F.lit(SHORT_SEGMENT))).otherwise(_grams("words", F.lit(SEGMENT)))).alias("x")).select("x.g", "e", "n", "k", F.col("x.pos").alias("pos"))
+    windows = asked.select(F.col("h1").alias("e"), "n", "k", F.explode(F.when(F.col("n") == SHORT, _grams(SHORT_SEGMENT)).otherwise(_grams(SEGMENT))).alias("x")).select("x.g", "e", "n", "k", F.col("x.pos").alias("pos"))
     weighed = windows.join(counts, "g", "left").groupBy("e", "n", "k").agg(F.collect_list(F.struct("pos", F.coalesce("c", F.lit(0)).alias("c"), "g")).alias("w"))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,9 +140,14 @@ def text_links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pd.DataFrame(rows, columns=["g", "e", "n", "k", "pos"]).astype({"g": "int64", "e": "int64"})
 
     segments = checkpointed(weighed.mapInPandas(choose, "g long, e long, n int, k int, pos int"))
-    near = segments.join(posted, "g").where("abs(tpos - pos) <= k and abs(m - n) <= k and e <> t").select("e", "t").distinct()
-    a = own.select(F.col("h1").alias("e"), F.col("h2").alias("e2"), F.array_join("words", " ").alias("a")).where("n_eval > 0")
-    b = own.select(F.col("h1").alias("t"), F.col("h2").alias("t2"), F.array_join("words", " ").alias("b")).where("n_train > 0")
+    # Segments are rare in train, so most of its grams go no further than this filter. Those that
+    # stay meet the segments, each part of a hot segment's grams by itself.
+    signed = segments.join(asked.select(F.col("h1").alias("e"), "s1", "s2"), "e")
+    # an edit changes at most two bits of a signature
+    near = _met(pruned(posted, "g", key_filter(segments, "g")), signed).where("abs(tpos - pos) <= k and abs(m - n) <= k and e <> t").where("bit_count(s1 ^ t1) <= 2 * k and bit_count(s2 ^ t2) <= 2 * k").select("e", "t").distinct()
+    near = checkpointed(near)
+    a = pruned(own.where("n_eval > 0").select(F.col("h1").alias("e"), F.col("h2").alias("e2"), F.col("words").alias("a")), "e", key_filter(near, "e"))
+    b = pruned(own.where("n_train > 0").select(F.col("h1").alias("t"), F.col("h2").alias("t2"), F.col("words").alias("b")), "t", key_filter(near, "t"))
     candidates = near.join(a, "e").join(b, "t")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,11 +172,15 @@ def found_overlaps(rows: DataFrame) -> DataFrame:
     own, links = text_links(texts)
     equal = own.where("n_eval > 0 and n_train > 0").select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("h1").alias("t1"), F.col("h2").alias("t2"))
     links = checkpointed(equal.unionByName(links))
-    # Links get the rows of their evaluation texts, then those of their training texts.
-    ids = texts.where("evaluation").select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("train_id").alias("eid"))
-    with_eval = links.join(ids, ["e1", "e2"])
-    trains = texts.where(~F.col("evaluation")).select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("train_id").alias("tid"))
-    return with_eval.join(trains, ["t1", "t2"]).select(F.least("eid", "tid").alias("id_a"), F.greatest("eid", "tid").alias("id_b")).where("id_a <> id_b").distinct()
+    # Links get the rows of their evaluation texts, then those of their training texts; a text that many
+    # rows have is spread over them.
+    of_link = lambda x, y: F.xxhash64(x, y)
+    links = checkpointed(links.withColumns({"e": of_link("e1", "e2"), "t": of_link("t1", "t2")}))
+    ids = checkpointed(texts.select("train_id", "evaluation", F.xxhash64("h1", "h2").alias("text")))
+    evals = pruned(ids.where("evaluation").select(F.col("text").alias("e"), F.col("train_id").alias("eid")), "e", key_filter(links, "e"))
+    trains = pruned(ids.where(~F.col("evaluation")).select(F.col("text").alias("t"), F.col("train_id").alias("tid")), "t", key_filter(links, "t"))
+    with_eval = links.select("e", "t").join(evals, "e")
+    return with_eval.join(trains, "t").select(F.least("eid", "tid").alias("id_a"), F.greatest("eid", "tid").alias("id_b")).where("id_a <> id_b").distinct()
 
 
 def overlap_totals(rows: DataFrame) -> DataFrame:
