@@ -12,10 +12,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitloom.llm.sampling import smallest
+from bitloom.llm.sampling import samples
 from bitloom.llm.sentences import Splitter
 from bitloom.llm.spam import OWNER
 
@@ -26,6 +26,8 @@ FIT_TEXTS, FIT_DOCUMENTS, FIT_LENGTH, DICTIONARY = 4000, 200, 4000, 110_000
 LEVEL = 3
 #: By how much of the text's bytes the second smallest result must exceed the smallest.
 MARGIN = 0.1
+#: Characters from which a unit counts as a sentence, whole or cut.
+SENTENCE = 12
 #: Letters a unit must have to be judged: Latin ones, others.
 LETTERS = (16, 4)
 
@@ -109,28 +111,19 @@ class Classifier:
 def dictionaries(values: DataFrame, documents: DataFrame) -> dict[str, bytes]:
     """Dictionaries of each language from labelled texts: the columns en and fr of ``values``, and
     documents of the other languages. Of each column at most FIT_TEXTS and of each label
-    FIT_DOCUMENTS texts of at most FIT_LENGTH characters are taken, those with the smallest hashes; wrong ones among them are left out."""
-    rows: dict[str, list[str]] = {}
-    for side in ("en", "fr"):
-        own = values.select(F.col(side).alias("text")).where(F.length("text").between(8, FIT_LENGTH))
-        rows[side] = [r["text"] for r in smallest(own, ["text"], FIT_TEXTS).collect()]
-    rest = documents.select("lang", "text").where(F.col("lang").isin([*OTHER, "de", "es"]) & F.length("text").between(8, FIT_LENGTH))
-    each = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    # below 1000, so that every task sends on that many rows a language at most
-    top = rest.withColumn("r", F.row_number().over(each)).where(F.col("r") <= FIT_DOCUMENTS)
-    for r in top.orderBy("lang", "r").collect():
-        rows.setdefault(r["lang"], []).append(r["text"])
-    out = {}
-    for lang, texts in rows.items():
-        out[lang] = dictionary(texts, lang)
-    return out
+    FIT_DOCUMENTS texts of at most FIT_LENGTH characters are taken, those with the smallest hashes; wrong
+    ones among them are left out."""
+    fits = lambda column: F.length(column).between(8, FIT_LENGTH)
+    texts = samples(values, {side: (F.when(fits(side), F.col(side)), FIT_TEXTS) for side in ("en", "fr")})
+    texts |= samples(documents, {lang: (F.when((F.col("lang") == lang) & fits("text"), F.col("text")), FIT_DOCUMENTS) for lang in (*OTHER, "de", "es")})
+    return {lang: dictionary(own, lang) for lang, own in texts.items() if own}
 
 
 def segments(values: DataFrame, documents: DataFrame, splitter: Splitter) -> DataFrame:
     """(match_id, side, start_pos, end_pos, lang, confidence, sentences): every value in segments of
     one language; neighbouring units of the same language are one segment with the lowest of their
-    confidences. ``sentences`` counts its units that end like a sentence or are cut. Units that can't
-    be told are ``und``. Null and blank values have no segments."""
+    confidences. ``sentences`` counts its units of SENTENCE characters or more. Units that can't be told
+    are ``und``. Null and blank values have no segments."""
     own = dictionaries(values, documents)
     shared = values.sparkSession.sparkContext.broadcast((own, splitter.marks.w, splitter.bare and splitter.bare.w))
 
@@ -144,7 +137,7 @@ def segments(values: DataFrame, documents: DataFrame, splitter: Splitter) -> Dat
                     before: list | None = None
                     for start, end in cut.units(text) if text else ():
                         lang, sure = model.classify(text[start:end])
-                        whole = int(end - start >= 12)
+                        whole = int(end - start >= SENTENCE)
                         if before and before[4] == lang:
                             before[3], before[5], before[6] = end, min(before[5], sure), before[6] + whole
                         else:

@@ -9,7 +9,7 @@ then compared with it word by word. No shuffle.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bitloom.llm.fmindex import FMIndex
+from bitloom.plans.materialize import checkpointed
 
 #: One word in fifteen may differ, so a passage has runs of at least this many words without error.
 PHRASE = 7
@@ -48,14 +49,17 @@ def plain(text: str) -> str:
     return HYPHEN.sub("", text).casefold()
 
 
-def usual_words(items: list[tuple[int, str]]) -> frozenset[str]:
-    """Words that aren't rare among all the items."""
-    own: dict[int, set[str]] = defaultdict(set)
-    for item, text in items:
-        own[item].update(WORD.findall(plain(text)))
-    holders = Counter(w for words in own.values() for w in words)
-    common = max(1, RARE_SHARE * sum(map(bool, own.values())))
-    return frozenset(w for w, n in holders.items() if n > common)
+def usual_words(items: DataFrame) -> frozenset[str]:
+    """Words that aren't rare among all the items. Each is in more than RARE_SHARE of them, so there are
+    at most 1 / RARE_SHARE times as many as an item has words on average."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(i, w) for i, *sides in zip(batch["item_id"].tolist(), batch["source_text"], batch["target_text"], strict=True) for w in {w for t in sides if t for w in WORD.findall(plain(t))}], columns=["item_id", "word"])
+
+    each = checkpointed(items.select("item_id", "source_text", "target_text").mapInPandas(cut, "item_id long, word string").distinct())
+    common = max(1, RARE_SHARE * each.select("item_id").distinct().count())
+    return frozenset(r["word"] for r in each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common).collect())
 
 
 class Items:
@@ -231,15 +235,17 @@ def leak_spans(documents: DataFrame, items: DataFrame, least: float = LEAST) ->
     """(doc_id, item_id, start_pos, end_pos): merged spans to remove, per document and item.
 
     Null and empty texts reveal nothing; a document given twice comes out twice; an item with fewer
-    words than PHRASE counts if all its words stand in a row. Items come to the driver in full: they
-    are the stated query set. Documents are never collected.
+    words than PHRASE counts if all its words stand in a row. Items, the stated query set, come to the
+    driver block by block of about ITEM_BLOCK; documents never do.
     """
-    texts = [(r["item_id"], r[side]) for r in items.select("item_id", "source_text", "target_text").collect() for side in ("source_text", "target_text") if r[side] and r["item_id"] is not None]
-    usual = documents.sparkSession.sparkContext.broadcast(usual_words(texts))
+    items = items.where(F.col("item_id").isNotNull())
+    blocks = max(1, -(-items.count() // ITEM_BLOCK))
+    usual = documents.sparkSession.sparkContext.broadcast(usual_words(items))
     schema = "doc_id long, item_id long, start_pos int, end_pos int"
     out = None
-    for first in range(0, max(len(texts), 1), 2 * ITEM_BLOCK):
-        shared = documents.sparkSession.sparkContext.broadcast(texts[first : first + 2 * ITEM_BLOCK])
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).select("item_id", "source_text", "target_text").orderBy("item_id").collect()
+        shared = documents.sparkSession.sparkContext.broadcast([(r["item_id"], r[side]) for r in own for side in ("source_text", "target_text") if r[side]])
 
         def find(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             known = Items(shared.value, usual.value)
@@ -262,6 +268,9 @@ def leak_spans(documents: DataFrame, items: DataFrame, least: float = LEAST) ->
                     begin = end
 
         part = documents.select("doc_id", "text").where(F.length("text") > 0).mapInPandas(find, schema)
+        if blocks > 1:  # so that the driver holds one block of items at a time
+            part = checkpointed(part)
+            shared.destroy()
         out = part if out is None else out.unionByName(part)
     return out
 

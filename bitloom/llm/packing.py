@@ -165,10 +165,10 @@ def containers(documents: DataFrame, kinds: DataFrame, window: int = WINDOW, fol
     container, every text in one container, or in pieces if it exceeds the capacity by itself.
 
     Positions count code points. Null and empty texts need no container. Equal texts under several
-    doc_id are packed each. Kinds without a positive capacity are left out. Container numbers are
+    doc_id are packed each. Kinds are parameters, which every task gets; those without a positive capacity are left out. Container numbers are
     unique within a kind; a task that runs again on the same partition gives the same.
     """
-    sizes = [(r["container_kind"], int(r["capacity_tokens"])) for r in kinds.where("capacity_tokens > 0").orderBy("capacity_tokens").limit(100).collect()]
+    sizes = [(r["container_kind"], int(r["capacity_tokens"])) for r in kinds.where("capacity_tokens > 0").orderBy("capacity_tokens", "container_kind").collect()]
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(folder)

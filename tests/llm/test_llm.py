@@ -51,13 +51,26 @@ def splitter(spark):
         ["Le permis no. 3 205 date du 4 sept. 2021.", "Pourquoi a-t-elle chuté en 2006 ?"],
         ["調査は行われた。", "委員会は「回復していない。調査が必要だ。」と述べた。"],
         ["การสำรวจทำที่11สถานี", "เรือสำรวจกลับเข้าฝั่ง"],
+        ["Table 4. Mean length of cod by stratum"],
+        ["Nets were lost.", "Figure 12. Map of the bay"],
+        ["समिति ने कहा कि भंडार कम है।", "क्या पानी गर्म था?"],
     ],
 )
 def test_units(splitter, units):
-    text = ("" if re.match("[぀-鿿]", units[0]) else " ").join(units)
+    text = ("" if re.match("[぀-鿿]", units[0]) else "\n" if "Figure" in units[-1] else " ").join(units)
     assert [text[a:b] for a, b in splitter.units(text)] == units
 
 
+def test_units_without_marks():
+    parts = ["水温は上昇した", "資源量は減少した", "調査は行われた", "委員会は報告書を採択した"]
+    rng = random.Random(2)
+    bare = ["。".join(rng.sample(parts, 3)) + "。" for _ in range(60)] + [p + "。" for p in parts]
+    model = sentences.fit([], bare)
+    text = parts[2] + parts[0] + parts[3]
+    assert [text[a:b] for a, b in model.units(text)] == [parts[2], parts[0], parts[3]]
+    assert [a for a, _ in model.units(parts[1] + "。")] == [0]
+
+
 def test_units_cover_everything(splitter):
     for text in ("", "  ", "\xa0Heading\n\nFigure 2. Map of it\nIt fell…  ", "a" * 50_000, "x. " * 5_000, '"unclosed. And so on. "'):
         spans = splitter.units(text)
