@@ -56,7 +56,7 @@ def _matching(text: Column, pattern: str) -> Column:
 def tag_counts(text: Column, lang: str) -> Column:
     """struct(verbs, nouns, entities): the default seam for a tagger, by suffixes; entities are
     capitalised words that do not begin the text."""
-    entities = F.size(F.filter(F.slice(words(text), 2, 100_000), lambda w: w.rlike("^[A-ZÀ-Þ][a-zà-ÿ]+")))
+    entities = F.size(F.filter(words(text), lambda w, i: (i > 0) & w.rlike("^[A-ZÀ-Þ][a-zà-ÿ]+")))
     return F.struct(_matching(text, VERBS[lang]).alias("verbs"), _matching(text, NOUNS[lang]).alias("nouns"), entities.alias("entities"))
 
 
@@ -184,7 +184,7 @@ def carry_capitals(original: Column, replacement: Column, starts: Column) -> Col
     """``replacement`` with the capitals of ``original``: all, the first one, or none."""
     upper = (F.upper(original) == original) & (F.lower(original) != original)
     lower = (F.lower(original) == original) & (F.upper(original) != original)
-    first = F.concat(F.upper(F.substring(replacement, 1, 1)), F.expr("''"), F.substring(replacement, 2, 1_000_000))
+    first = F.concat(F.upper(F.substring(replacement, 1, 1)), replacement.substr(F.lit(2), F.length(replacement)))
     return F.when((original == "") | (replacement == ""), replacement).when(upper, F.upper(replacement)).when(starts, first).when(lower, F.lower(replacement)).otherwise(replacement)
 
 

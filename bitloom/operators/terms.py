@@ -124,7 +124,7 @@ def cell_routes(cells: DataFrame, table_terms: DataFrame, glossary: DataFrame, s
     joined = cells.select("row_id", text.alias("text")).withColumns({"__cell": F.col("text"), "__low": F.lower("text")}).join(entries, "__cell", "left").join(preferred, "__low", "left")
     numeric = is_numeric(F.col("text"))
     capital = F.col("text").rlike("^[A-ZÀ-Þ]")
-    carried = F.when(capital, F.concat(F.upper(F.substring("__preferred", 1, 1)), F.substring("__preferred", 2, 100_000))).otherwise(F.col("__preferred"))
+    carried = F.when(capital, F.concat(F.upper(F.substring("__preferred", 1, 1)), F.col("__preferred").substr(F.lit(2), F.length("__preferred")))).otherwise(F.col("__preferred"))
     route = F.when(numeric, "numeric").when(F.col("__entry").isNotNull(), "table").when(F.col("__preferred").isNotNull(), "preferred").when(F.length("text") >= least, "model").otherwise("unchanged")
     value = F.when(numeric, convert_numeric(F.col("text"), source_lang == "en")).otherwise(F.coalesce("__entry", carried, "text"))
     return joined.select("row_id", value.alias("expected"), route.alias("route"))
