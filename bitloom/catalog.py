@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from bitloom.functions import features as X
 from bitloom.functions import text as T
-from bitloom.operators import diagnostics, documents, evaluation, glossary, selection, similarity, terms
+from bitloom.operators import diagnostics, documents, evaluation, formatting, glossary, proofreading, selection, similarity, terms, translation
 from bitloom.session import table
-from bitloom.sources import files
+from bitloom.sources import docx, files, sinks
 
 
 def _bitext(s: SparkSession, d: str) -> DataFrame:
@@ -55,7 +55,8 @@ def _substituted(s: SparkSession, d: str) -> DataFrame:
 def _cells(s: SparkSession, d: str) -> DataFrame:
     t = _terms(s, d)
     numbers = t.where("`count` is not null").select((F.col("row_id") + 1_000_000_000).alias("row_id"), F.col("count").cast("string").alias("text"))
-    return terms.cell_routes(t.select("row_id", F.col("en").alias("text")).unionByName(numbers), t.where("`count` > 5"), table(s, d, "glossary"))
+    values = _bitext(s, d).where("en is not null").select((F.col("match_id") + 2_000_000_000).alias("row_id"), F.col("en").alias("text"))
+    return terms.cell_routes(t.select("row_id", F.col("en").alias("text")).unionByName(numbers).unionByName(values), t, table(s, d, "glossary"))
 
 
 def _files(s: SparkSession, d: str) -> DataFrame:
@@ -71,6 +72,43 @@ def _fr() -> Column:
     return F.col("fr")
 
 
+def _losing_tokens(text: Column) -> Column:
+    """What a translator gives that loses every token with an odd number."""
+    return F.regexp_replace(text, r"\b[A-Z]+[0-9]{3}[13579]\b", "")
+
+
+def _sentences(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "docx_sentences")
+
+
+def _docx(s: SparkSession, d: str) -> DataFrame:
+    """The English documents as word-processor files."""
+    return docx.as_files(_sentences(s, d), "document_name", "pos", "en")
+
+
+def _settings(s: SparkSession, d: str) -> DataFrame:
+    """Matched rows as evaluated translations: two settings by their number."""
+    on = lambda n: F.floor(F.col("match_id") / n) % 2 == 0
+    sample = F.concat(F.col("document_name"), F.lit("#"), F.col("idx").cast("string"))
+    return _bitext(s, d).where("document_name is not null").select(sample.alias("sample_idx"), on(1).alias("use_find_replace"), on(2).alias("gender_fix"), F.concat(F.col("source"), F.lit("-"), F.col("match_id").cast("string")).alias("translator"), "similarity")
+
+
+def _notes(s: SparkSession, d: str) -> DataFrame:
+    """Table terms as notes: their marks are formats, their document the paragraph."""
+    notes = F.concat(F.lit(" italic\n colour=000000 \n"), F.when(_en().contains("{"), "superscript").otherwise(""))
+    kind = F.when(_en().contains("/"), "url").otherwise("formatting")
+    place = [F.when(F.col("row_id") % 2 == 0, "tables").otherwise("body").alias("section"), *[F.lit(0).alias(n) for n in ("index", "tbl", "row", "cell")]]
+    return _terms(s, d).where("document_name is not null").select(F.col("document_name").alias("full_paragraph"), _en().alias("original_text"), notes.alias("notes"), kind.alias("type"), *place, F.col("row_id").alias("ord"))
+
+
+def _restyled(s: SparkSession, d: str) -> DataFrame:
+    """Formats of marked-up terms, carried over to their translations."""
+    t = _terms(s, d).where("en is not null and fr is not null")
+    run = lambda r: F.struct(r["text"].alias("text"), F.lit(False).alias("bold"), r["italic"].alias("italic"), F.lit(False).alias("underline"), r["superscript"].alias("superscript"), r["subscript"].alias("subscript"))
+    runs = documents.markup_runs(t, "row_id", "en").select("row_id", F.transform("runs", run).alias("runs"))
+    return formatting.restyle_paragraphs(runs.join(t.select("row_id", T.without_markup(_fr()).alias("translation")), "row_id"), "row_id")
+
+
 #: Floor of similarity that fits the stand-in encoder, which knows no translations.
 _STAND_IN = 0.3
 
@@ -138,7 +176,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "translation_matches": lambda s, d: terms.substring_matches(_bitext(s, d), table(s, d, "glossary")),
         "token_substitute": lambda s, d: _substituted(s, d).select("match_id", "tokenised", F.size("mapping").alias("n_tokens")),
         "token_restore": lambda s, d: terms.restore_terms(_substituted(s, d), "match_id"),
-        "missing_tokens": lambda s, d: terms.missing_tokens(_substituted(s, d).withColumn("translated", F.substring("tokenised", 1, 60)), "match_id", "translated"),
+        "missing_tokens": lambda s, d: terms.missing_tokens(_substituted(s, d).withColumn("translated", _losing_tokens(F.col("tokenised"))), "match_id", "translated"),
         "terms_replaced": lambda s, d: terms.replace_terms(_bitext(s, d), table(s, d, "glossary"), "match_id", "en"),
         "cell_routes": _cells,
         "category_counts": lambda s, d: glossary.category_counts(table(s, d, "glossary")),
@@ -168,6 +206,45 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "spaced_apostrophes": lambda s, d: diagnostics.spaced_apostrophes(_sides(s, d)),
         "set_compare": lambda s, d: diagnostics.comparison(table(s, d, "training_data").select("en", "fr"), table(s, d, "training_data").select("en", "fr").distinct()),
         "set_difference": lambda s, d: diagnostics.multiset_difference(table(s, d, "training_data").select("en", "fr"), _bitext(s, d).select("en", "fr")),
+        "sequence_compare": lambda s, d: diagnostics.comparison(_bitext(s, d).select("match_id", "en", "fr"), _bitext(s, d).select("match_id", "en", "fr"), "match_id"),
+        "union_all": lambda s, d: _bitext(s, d).select("document_name", "source", "en", "fr", "doc_region").unionByName(table(s, d, "training_data").select("document_name", "source", "en", "fr", "split_name"), allowMissingColumns=True),
+        "document_names": lambda s, d: _bitext(s, d).where("document_name is not null").select("document_name").distinct().orderBy("document_name"),
+        "document_gate": lambda s, d: files.gated_documents(_sentences(s, d)),
+        "pattern_difference": lambda s, d: diagnostics.pattern_difference(*[diagnostics.contraction_sets(_sides(s, d)).where(F.col("lang") == lang).select(F.col("before").alias("key"), F.col("afters").alias("items")) for lang in ("en", "fr")]),
+        "contraction_suffixes": lambda s, d: diagnostics.contraction_suffixes(_sides(s, d).select(F.explode(X.words(F.lower("text"))).alias("w")), "w"),
+        "cleaning_pairs": lambda s, d: diagnostics.cleaning_pairs(diagnostics.spaced_apostrophes(_sides(s, d))),
+        "inspection_sample": lambda s, d: diagnostics.inspection_sample(_flags(s, d).where("en is not null and fr is not null"), ["exclude_figtext", "exclude_too_short", "has_date_refs", "has_number_mismatch"], "match_id"),
+        "has_single_letter": lambda s, d: _whole(s, d).select("match_id", X.has_single_letter(_en()).alias("has")),
+        # text, further
+        "straight_apostrophes": lambda s, d: _whole(s, d).select("match_id", T.straight_apostrophes(_fr()).alias("fr")),
+        "model_output": lambda s, d: _whole(s, d).select("match_id", T.without_boilerplate(F.concat(F.lit("Here is the translation: "), _fr(), F.lit(" (translation note)"))).alias("fr")),
+        "blank_to_null": lambda s, d: _terms(s, d).select("row_id", T.blank_to_null(_en()).alias("en")),
+        "label_periods": lambda s, d: _whole(s, d).select("match_id", T.ensure_label_period(_en()).alias("en")),
+        "checkpoint_names": lambda s, d: table(s, d, "correlation").where("filename_fr is not null").select(T.checkpoint_name(F.regexp_replace("filename_fr", r"\.pdf$", ""), "_reviewed", ("_translated", "_fixed")).alias("name")).distinct(),
+        "flattened_paragraphs": lambda s, d: table(s, d, "documents").select("doc_id", F.size(T.flatten_with_marks(F.transform(F.split("text", r"\n\n+"), lambda p: F.filter(F.split(p, "\n"), lambda x: F.trim(x) != "")))).alias("n")),
+        "chunks_by_kind": lambda s, d: table(s, d, "documents").select("doc_id", F.size(T.chunks(F.col("text"), "paragraphs")).alias("n_paragraphs"), F.size(T.chunks(F.col("text"))).alias("n_sentences")),
+        "capitals": lambda s, d: _terms(s, d).where("en is not null and fr is not null").select("row_id", X.carry_capitals(_en(), _fr(), F.lit(False)).alias("fr")),
+        # word-processor files
+        "docx_paragraphs": lambda s, d: docx.read_elements(_docx(s, d)).where("kind = 'paragraph'").select("path", "ord", "loc_id", "text"),
+        "docx_headers": lambda s, d: docx.read_elements(_docx(s, d)).where("kind = 'header'").select("path", "loc_id", "text"),
+        "docx_texts": lambda s, d: docx.document_texts(docx.read_elements(_docx(s, d)).where("kind = 'paragraph'")),
+        "docx_runs": lambda s, d: documents.merged_runs(docx.read_runs(_docx(s, d))).select("path", "ord", "text", "bold", "italic"),
+        "docx_languages": lambda s, d: docx.languages(_docx(s, d)),
+        "restyled_terms": _restyled,
+        "kept_notes": lambda s, d: documents.kept_notes(_notes(s, d)).select("ord", "notes"),
+        "grouped_notes": lambda s, d: documents.grouped_notes(documents.kept_notes(_notes(s, d))).select("full_paragraph", "type", F.size("notes").alias("n")),
+        "note_table": lambda s, d: sinks.note_table(documents.grouped_notes(documents.kept_notes(_notes(s, d)))).groupBy("section", "colour").agg(F.count(F.lit(1)).alias("n")),
+        # translation and proofreading
+        "prefix_errors": lambda s, d: _whole(s, d).select("match_id", terms.prefix_error(F.upper(_fr()), _en()).alias("error")),
+        "same_mappings": lambda s, d: _substituted(s, d).select("match_id", translation.same_mappings(F.col("mapping"), F.reverse("mapping")).alias("same")),
+        "translate_terms": lambda s, d: translation.translate_texts(_bitext(s, d), table(s, d, "glossary"), "match_id", "fr", "fr"),
+        "labelled_translation": lambda s, d: _whole(s, d).select("match_id", translation.labelled(_en(), lambda x: F.concat(F.lit("[TR:"), x, F.lit("]"))).alias("text")),
+        "chunk_index": lambda s, d: translation.chunk_index(table(s, d, "documents"), "doc_id", "text"),
+        "evaluation_rows": lambda s, d: translation.evaluation_rows(_whole(s, d).select(F.col("match_id").alias("sample_idx"), _en().alias("source_text"), _fr().alias("target_text"), "en"), {"plain": _en(), "upper": F.upper(_en())}),
+        "best_by_configuration": lambda s, d: translation.best_by_configuration(_settings(s, d)),
+        "review_prompts": lambda s, d: proofreading.prompts(_bitext(s, d), table(s, d, "glossary"), "match_id", "en", "en"),
+        "punctuation_changes": lambda s, d: proofreading.punctuation_changes(_bitext(s, d), _fr(), "fr").unionByName(proofreading.punctuation_changes(_bitext(s, d), _en(), "en")),
+        "fix_formatting": lambda s, d: proofreading.fix_formatting(_bitext(s, d).where("fr is not null"), table(s, d, "glossary"), "match_id", "fr", "en", "fr"),
         "membership_counts": lambda s, d: diagnostics.membership(_bitext(s, d), table(s, d, "docx_sentences"), ["document_name"]),
     }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitloom.functions import features as X
@@ -87,12 +87,21 @@ def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).select(F.lit("first").alias("side")).unionAll(b.exceptAll(a).select(F.lit("second").alias("side"))).groupBy("side").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def comparison(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(verdict): same multiset, same set, or different, of two tables with the same columns."""
+def comparison(a: DataFrame, b: DataFrame, order: str | None = None) -> DataFrame:
+    """(verdict): same multiset, same set, or different, of two tables with the same columns. With
+    ``order``, a column that says where a row stands, also same sequence; it counts for that only."""
+    if order is not None:
+        whole = comparison(a, b).select((F.col("verdict") == "same multiset").alias("sequence"))
+        # one row each
+        both = whole.withColumn("k", F.lit(0)).join(comparison(a.drop(order), b.drop(order)).withColumn("k", F.lit(0)), "k")
+        return both.select(F.when(F.col("sequence"), "same sequence").otherwise(F.col("verdict")).alias("verdict"))
     columns = a.columns
-    counted = a.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).withColumn("m", F.lit(0).cast("long")).unionByName(b.groupBy(*columns).agg(F.count(F.lit(1)).alias("m")).withColumn("n", F.lit(0).cast("long")))
-    both = counted.groupBy(*columns).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-    return both.agg(F.count_if(F.col("n") != F.col("m")).alias("x"), F.count_if((F.col("n") == 0) | (F.col("m") == 0)).alias("y")).select(F.when(F.col("x") == 0, "same multiset").when(F.col("y") == 0, "same set").otherwise("different").alias("verdict"))
+    zero = F.lit(0).cast("long")
+    own = a.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("__m", zero)
+    other = b.groupBy(*columns).agg(F.count(F.lit(1)).alias("__m")).withColumn("__n", zero)
+    both = own.unionByName(other).groupBy(*columns).agg(F.sum("__n").alias("__n"), F.sum("__m").alias("__m"))
+    counts = both.agg(F.count_if(F.col("__n") != F.col("__m")).alias("x"), F.count_if((F.col("__n") == 0) | (F.col("__m") == 0)).alias("y"))
+    return counts.select(F.when(F.col("x") == 0, "same multiset").when(F.col("y") == 0, "same set").otherwise("different").alias("verdict"))
 
 
 def membership(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -122,3 +131,26 @@ def good_paragraphs(texts: DataFrame, key: str, text: str) -> DataFrame:
     each = texts.select(key, F.posexplode(F.split(text, r"\n\n+")).alias("pos", "paragraph"))
     plain = F.length(F.regexp_replace("paragraph", r"[^\p{L}\s]", ""))
     return each.where((F.regexp_count("paragraph", F.lit(r"\.")) >= 2) & (plain >= 100) & (plain >= 0.95 * F.length("paragraph")))
+
+
+def contraction_suffixes(words: DataFrame, word: str) -> DataFrame:
+    """(suffix, prefixes): what stands before the last apostrophe of each English ending; of words in
+    printable ASCII."""
+    w = F.replace(F.col(word), F.lit("’"), F.lit("'"))
+    pattern = r"\A(.+)'([^']+)\z"
+    known = words.where(F.col(word).rlike(r"\A[\x20-\x7E’]*\z")).select(F.regexp_extract(w, pattern, 1).alias("prefix"), F.regexp_extract(w, pattern, 2).alias("suffix"))
+    return known.where(F.col("suffix").isin(*ENGLISH) & (F.col("prefix") != "")).groupBy("suffix").agg(F.array_sort(F.collect_set("prefix")).alias("prefixes"))
+
+
+def cleaning_pairs(patterns: DataFrame) -> DataFrame:
+    """(pattern, cleaned): spaced apostrophes and their repaired form, each pattern once."""
+    return patterns.select("pattern", F.regexp_replace("pattern", r" *' *", "'").alias("cleaned")).distinct()
+
+
+def inspection_sample(flags: DataFrame, names: list[str], key: str, each: int = 5, kept: int = 22) -> DataFrame:
+    """(flag, key): for every flag ``each`` rows that only it excludes, and ``kept`` rows without any
+    under 'kept', those with the smallest digests of the key."""
+    on = F.filter(F.array(*[F.when(F.coalesce(F.col(n), F.lit(False)), F.lit(n)) for n in names]), lambda x: x.isNotNull())
+    one = flags.select(key, on.alias("on")).where(F.size("on") <= 1).select(key, F.coalesce(F.get("on", F.lit(0)), F.lit("kept")).alias("flag"))
+    w = Window.partitionBy("flag").orderBy(F.md5(F.col(key).cast("string")), key)
+    return one.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.when(F.col("flag") == "kept", kept).otherwise(each)).select("flag", key)

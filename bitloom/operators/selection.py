@@ -68,9 +68,8 @@ def file_selection(bitext: DataFrame, glossary: DataFrame) -> DataFrame:
 def mark_duplicates(rows: DataFrame, kept: Column, order: str = "match_id") -> DataFrame:
     """``is_duplicate`` among the rows where ``kept`` holds. The first row of each pair of texts comes
     from an aggregation (pre-aggregated, so that no text, however frequent, gathers its rows)."""
-    pair = F.xxhash64("en", "fr")
     firsts = rows.where(kept).groupBy("en", "fr").agg(F.min(order).alias("__first")).select("__first")
-    return rows.join(firsts, rows[order] == firsts["__first"], "left").withColumn("is_duplicate", kept & F.col("__first").isNull() & pair.isNotNull()).drop("__first")
+    return rows.join(firsts, rows[order] == firsts["__first"], "left").withColumn("is_duplicate", kept & F.col("__first").isNull()).drop("__first")
 
 
 def log_thresholds(rows: DataFrame, ratios: tuple[str, ...] = RATIOS, deviations: float = 2.0) -> DataFrame:
@@ -88,8 +87,11 @@ def both_directions(rows: DataFrame) -> DataFrame:
 
 
 def usable_for_tuning(records: DataFrame, only: str | None = None) -> DataFrame:
-    """Records with a target that isn't blank, of one source language if ``only`` names it."""
+    """Records with a target that isn't blank, of one source language if ``only`` names it; where there
+    is a column ``labels``, only those that have any."""
     kept = records.where(F.trim("target") != "")
+    if "labels" in records.columns:
+        kept = kept.where(F.size("labels") > 0)
     return kept if only is None else kept.where(F.col("source_lang") == only)
 
 

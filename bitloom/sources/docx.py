@@ -7,6 +7,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,8 @@ def parts(content: bytes) -> Iterator[tuple[str, ElementTree.Element]]:
         if "word/document.xml" in names:
             yield "body", ElementTree.fromstring(z.read("word/document.xml"))
         for kind in ("header", "footer"):
-            for name in sorted(n for n in names if re.match(rf"word/{kind}\d*\.xml$", n)):
+            own = [n for n in names if re.match(rf"word/{kind}\d*\.xml$", n)]
+            for name in sorted(own, key=lambda n: int(re.search(r"(\d*)\.xml$", n).group(1) or 0)):
                 yield kind, ElementTree.fromstring(z.read(name))
 
 
@@ -164,3 +166,43 @@ def document_texts(rows: DataFrame) -> DataFrame:
     lines = lines.select("path", "ord", "loc_id", F.transform("x", lambda e: e["text"]).alias("t"))
     each = F.array_sort(F.collect_list(F.struct("ord", "loc_id", "t")))
     return lines.groupBy("path").agg(each.alias("l")).select("path", F.array_join(F.flatten(F.transform("l", lambda e: e["t"])), "\n").alias("text"), F.array_join(F.transform("l", lambda e: F.concat(F.lit("["), e["loc_id"], F.lit("] "), F.array_join(e["t"], " | "))), "\n").alias("located"))
+
+
+def built(paragraphs: list[str], lang: str = "en", header: str | None = None) -> bytes:
+    """A file with these paragraphs, marked as text in ``lang``, and a header if there is one."""
+    space = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    allowed = lambda t: escape(re.sub(r"[^\t\n\r\x20-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]", "", t))
+    text = lambda t: f'<w:p><w:r><w:rPr><w:lang w:val="{lang}-CA"/></w:rPr><w:t xml:space="preserve">{allowed(t)}</w:t></w:r></w:p>'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", f"<w:document {space}><w:body>{''.join(map(text, paragraphs))}</w:body></w:document>")
+        if header is not None:
+            z.writestr("word/header1.xml", f"<w:hdr {space}>{text(header)}</w:hdr>")
+    return out.getvalue()
+
+
+def as_files(rows: DataFrame, key: str, order: str, text: str, lang: str = "en") -> DataFrame:
+    """(path, content): a file per ``key`` with its texts in order and the key as header. A file is made
+    in one task, as it has to be held as a whole; null texts and keys are left out."""
+
+    def make(own: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(own[0], built(group.sort_values(order, kind="stable")[text].tolist(), lang, own[0]))], columns=["path", "content"])
+
+    given = rows.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("path"), order, text)
+    return given.groupBy("path").applyInPandas(make, "path string, content binary")
+
+
+def languages(documents: DataFrame) -> DataFrame:
+    """(path, lang) of files by their language marks; null of files without any."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for content in batch["content"]:
+                try:
+                    found.append(language(content))
+                except zipfile.BadZipFile:
+                    found.append(None)
+            yield pd.DataFrame({"path": batch["path"], "lang": pd.Series(found, dtype="object")})
+
+    return documents.select("path", "content").mapInPandas(read, "path string, lang string")

@@ -84,3 +84,10 @@ def pair_documents(files: DataFrame, regions: list[str] | None = None) -> DataFr
     g = x.groupBy("document_name").agg(F.min("region").alias("region"), pick("fr", True).alias("fe"), pick("en", True).alias("ee"), pick("fr", False).alias("fn"), pick("en", False).alias("en_"))
     errata = F.col("fe").isNotNull() & F.col("ee").isNotNull()
     return g.select("document_name", "region", F.when(errata, F.col("fe")).otherwise(F.col("fn")).alias("path_fr"), F.when(errata, F.col("ee")).otherwise(F.col("en_")).alias("path_en")).where("path_fr is not null and path_en is not null")
+
+
+def gated_documents(sentences: DataFrame, least: int = 1000) -> DataFrame:
+    """(document_name, en_chars, fr_chars): documents (document_name, en, fr) whose sides both have at
+    least so many characters; rows without a name belong to none."""
+    sides = sentences.where("document_name is not null").groupBy("document_name").agg(F.sum(F.coalesce(F.length("en"), F.lit(0))).alias("en_chars"), F.sum(F.coalesce(F.length("fr"), F.lit(0))).alias("fr_chars"))
+    return sides.where((F.col("en_chars") >= least) & (F.col("fr_chars") >= least))

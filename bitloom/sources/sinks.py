@@ -41,3 +41,34 @@ def write_errors(issues: DataFrame, path: str, attempts: str | None = None) -> N
 def write_documents(chunks: DataFrame, path: str) -> None:
     """A text per document (document_name, text), in a folder of each."""
     chunks.select("document_name", "text").write.mode("overwrite").partitionBy("document_name").text(path)
+
+
+def write_checklist(items: DataFrame, path: str) -> None:
+    """Items (location, source_text, preferred_translation) as JSON."""
+    items.select("location", "source_text", "preferred_translation").write.mode("overwrite").json(path)
+
+
+def note_sections(groups: DataFrame) -> DataFrame:
+    """(section, entry): grouped notes under 'paragraphs' or, of those in tables, 'tables'."""
+    section = F.when(F.col("section") == "tables", "tables").otherwise("paragraphs")
+    return groups.select(section.alias("section"), F.struct("full_paragraph", "type", "notes").alias("entry"))
+
+
+def write_notes(groups: DataFrame, path: str) -> None:
+    """A folder of JSON per section."""
+    note_sections(groups).select("section", "entry.*").write.mode("overwrite").partitionBy("section").json(path)
+
+
+def note_table(groups: DataFrame) -> DataFrame:
+    """(section, full_paragraph, detail, colour): the rows of a report on notes, with the colour of
+    their kind."""
+    colour = F.when(F.col("type") == "mixed", "bright green").when(F.col("type") == "url", "turquoise").otherwise("yellow")
+    return note_sections(groups).select("section", "entry.*").select("section", "full_paragraph", F.explode("notes").alias("detail"), colour.alias("colour"))
+
+
+def write_glossary(glossary: DataFrame, path: str) -> None:
+    """Entries by category, and the number of entries of each and of all."""
+    from bitloom.operators.glossary import category_counts
+
+    glossary.write.mode("overwrite").partitionBy("category").json(f"{path}/translations")
+    category_counts(glossary).write.mode("overwrite").json(f"{path}/statistics")
