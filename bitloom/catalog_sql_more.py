@@ -68,6 +68,8 @@ def oracle_sql() -> dict[str, str]:
     chunk = f"case when regexp_matches(ck, '{_CAPTION}') and trim(regexp_extract(ck, '{_CAPTION}', 2), ' ') <> '' then '[TR:' || regexp_extract(ck, '{_CAPTION}', 1) || '.]. [TR:' || regexp_extract(ck, '{_CAPTION}', 2) || ']' else '[TR:' || ck || ']' end"
     return {
         "cell_routes": _ROUTES,
+        "validation_split": "select train_id, ('0x' || md5(train_id || '/42')[1:8])::bigint % 10000 < 500 as is_validation from training_data",
+        "sample_rows": "select match_id from matched_docx_data order by md5(match_id || '/42'), match_id limit 1000",
         "sequence_compare": "select 'same sequence' as verdict",
         "union_all": "select document_name, source, en, fr, doc_region, null::varchar as split_name from matched_docx_data union all select document_name, source, en, fr, null, split_name from training_data",
         "document_names": "select distinct document_name from matched_docx_data where document_name is not null",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitloom.functions import features as X
+from bitloom.operators.evaluation import quantiles
 
 #: What stands before the letters of English contractions.
 ENGLISH = {
@@ -122,7 +123,9 @@ def pattern_difference(own: DataFrame, reference: DataFrame) -> DataFrame:
 def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
     """(column, n, mean, std, low, median, high)."""
     long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.*")
-    return long.groupBy("column").agg(F.count("v").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_samp("v"), 4).alias("std"), F.min("v").alias("low"), F.percentile("v", 0.5).alias("median"), F.max("v").alias("high"))
+    stats = long.groupBy("column").agg(F.count("v").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_samp("v"), 4).alias("std"), F.min("v").alias("low"), F.max("v").alias("high"))
+    middle = quantiles(long, "v", ["column"], (0.5,)).select("column", F.col("q0").alias("median"))
+    return stats.join(middle, "column", "left").select("column", "n", "mean", "std", "low", "median", "high")
 
 
 def good_paragraphs(texts: DataFrame, key: str, text: str) -> DataFrame:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bitloom.plans.materialize import checkpointed
+
 NO_TRANSLATION = "[NO VALID TRANSLATIONS]"
 #: Widths of the search that are tried in turn.
 BEAMS = (4, 6, 8)
@@ -59,12 +61,31 @@ def best_per_sample(results: DataFrame, keys: list[str], similarity: str, ties:
     return results.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 
+def quantiles(rows: DataFrame, value: str, by: list[str], at: tuple[float, ...]) -> DataFrame:
+    """(by, n, q0, q1, ...): exact quantiles of each group, interpolated; null values count for nothing
+    and groups without any have no row. Equal values are counted first and the counts summed up along
+    ranges, so that no group, however large, gathers its values."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = checkpointed(counted.repartitionByRange(*by, "__v").withColumn("__p", F.spark_partition_id()))
+    # groups and partitions together are this table's rows
+    sums = ranged.groupBy(*by, "__p").agg(F.sum("__n").alias("__s"))
+    group = Window.partitionBy(*by)
+    starts = sums.select(*by, "__p", (F.sum("__s").over(group.orderBy("__p")) - F.col("__s")).alias("__start"), F.sum("__s").over(group).alias("__total"))
+    upto = F.col("__start") + F.sum("__n").over(Window.partitionBy(*by, "__p").orderBy("__v"))
+    placed = ranged.join(starts, [*by, "__p"]).withColumn("__to", upto).withColumn("__from", F.col("__to") - F.col("__n"))
+    here = lambda place: F.max(F.when((F.col("__from") <= place) & (place < F.col("__to")), F.col("__v")))
+    place = [q * (F.col("__total") - 1) for q in at]
+    found = placed.groupBy(*by).agg(F.max("__total").alias("n"), *[here(F.floor(p)).alias(f"__l{k}") for k, p in enumerate(place)], *[here(F.ceil(p)).alias(f"__h{k}") for k, p in enumerate(place)])
+    share = [q * (F.col("n") - 1) - F.floor(q * (F.col("n") - 1)) for q in at]
+    return found.select(*by, "n", *[(F.col(f"__l{k}") + (F.col(f"__h{k}") - F.col(f"__l{k}")) * share[k]).alias(f"q{k}") for k in range(len(at))])
+
+
 def percentiles(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Exact percentiles, interpolated, of each group; groups with a null key are left out."""
     for b in by:
         rows = rows.where(F.col(b).isNotNull())
-    grouped = rows.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, QUANTILES))).alias("p"), F.count(value).alias("n"))
-    return grouped.select(*by, "n", *[F.round(F.col("p")[i], 3).alias(name) for i, name in enumerate(QUANTILE_NAMES)])
+    found = quantiles(rows, value, by, QUANTILES)
+    return found.select(*by, "n", *[F.round(f"q{k}", 3).alias(name) for k, name in enumerate(QUANTILE_NAMES)])
 
 
 def breakdowns(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
@@ -74,8 +95,8 @@ def breakdowns(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
 
 
 def sample_rows(rows: DataFrame, key: str, n: int | None, seed: int = 42) -> DataFrame:
-    """``n`` rows with the smallest hashes of key and seed; all if there are no more or ``n`` is None."""
-    return rows if n is None else rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """``n`` rows with the smallest digests of key and seed; all if there are no more or ``n`` is None."""
+    return rows if n is None else rows.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}"))), key).limit(n)
 
 
 def error_summary(results: DataFrame) -> DataFrame:

@@ -96,8 +96,9 @@ def usable_for_tuning(records: DataFrame, only: str | None = None) -> DataFrame:
 
 
 def hash_split(rows: DataFrame, key: str, share: float = 0.05, seed: int = 42) -> DataFrame:
-    """``is_validation`` by the hash of ``key``: the same rows for any partitioning."""
-    return rows.withColumn("is_validation", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < int(share * 10_000))
+    """``is_validation`` by a digest of ``key``: the same rows for any partitioning."""
+    digest = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}"))), 1, 8), 16, 10).cast("long")
+    return rows.withColumn("is_validation", digest % 10_000 < int(share * 10_000))
 
 
 def steps_per_epoch(rows: DataFrame, batch: int, accumulate: int) -> DataFrame:

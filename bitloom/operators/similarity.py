@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitloom.functions.features import cosine
+from bitloom.plans.materialize import checkpointed
 
 K = 4
 FLOOR = 0.7
@@ -40,7 +41,10 @@ def pair_similarity(vectors: DataFrame, group: str, key: str, vector: str, is_so
 
 def margin_scores(sims: DataFrame, group: str, k: int = K) -> DataFrame:
     """(group, i, j, sim, margin): similarity over the mean of the k largest of its row plus that of
-    its column; raw where a side has fewer than two."""
+    its column; raw where a side has fewer than two. The similarities are read three times, and so are
+    computed once."""
+    sims = checkpointed(sims)
+
     def nearest(side: str, name: str) -> DataFrame:
         other = "j" if side == "i" else "i"
         top = sims.withColumn("r", F.row_number().over(Window.partitionBy(group, side).orderBy(F.desc("sim"), other))).where(F.col("r") <= k)

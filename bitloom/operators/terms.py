@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Glossary rows up to which the anchors are broadcast; beyond that they are shuffled.
-BROADCAST_ROWS = 100_000
+#: Glossary rows and characters up to which the anchors are broadcast; beyond that they are shuffled.
+BROADCAST_ROWS, BROADCAST_CHARS = 100_000, 8_000_000
 CASE_SENSITIVE = ("acronym", "table")
 PREFIXES = ("NOMENCLATURE", "TAXON", "ACRONYM", "SITE", "NAME")
 
@@ -52,18 +52,29 @@ def matches(texts: DataFrame, terms: DataFrame, key: str, text: str) -> DataFram
     ``terms``: columns term, category and others. A term without word characters matches nothing.
     """
     anchored = terms.withColumn("__anchor", _anchor(F.col("term"))).where("__anchor is not null")
-    small = terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    words = texts.where(F.col(text).isNotNull()).select(key, F.col(text).alias("__text"), F.explode(_runs(F.col(text))).alias("__anchor"))
-    found = words.join(F.broadcast(anchored) if small else anchored, "__anchor")
+    given = texts.where(F.col(text).isNotNull())
+    if _is_small(anchored):
+        words = given.select(key, F.col(text).alias("__text"), F.explode(_runs(F.col(text))).alias("__anchor"))
+        found = words.join(F.broadcast(anchored), "__anchor")
+    else:  # only words are shuffled; what they hit gets its text afterwards
+        words = given.select(key, F.explode(_runs(F.col(text))).alias("__anchor")).distinct()
+        found = words.join(anchored, "__anchor").join(given.select(key, F.col(text).alias("__text")), key)
     return found.where(F.rlike("__text", _pattern(F.col("term"), F.col("category").isin(*CASE_SENSITIVE)))).drop("__anchor", "__text")
 
 
+def _is_small(terms: DataFrame) -> bool:
+    """Whether terms (columns of text) may be broadcast."""
+    chars = [F.coalesce(F.length(c), F.lit(0)) for c, kind in terms.dtypes if kind == "string"]
+    n, size = terms.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.sum(sum(chars, F.lit(0)))).first()
+    return n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_CHARS
+
+
 def unmatched_constraint(bitext: DataFrame, glossary: DataFrame) -> DataFrame:
     """match_id of rows where a term stands on one side and its translation not on the other. Sites
     are no constraints; a row with a null side is none either."""
     pairs = term_pairs(glossary.where("category <> 'site'"))
     whole = bitext.where("en is not null and fr is not null")
-    small = F.broadcast if pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else (lambda d: d)
+    small = F.broadcast if _is_small(pairs) else (lambda d: d)
     sides = whole.select("match_id", F.explode(F.array(F.struct(F.lit("en").alias("lang"), F.col("en").alias("here"), F.col("fr").alias("there")), F.struct(F.lit("fr").alias("lang"), F.col("fr").alias("here"), F.col("en").alias("there")))).alias("x")).select("match_id", "x.*")
     words = sides.select("match_id", "lang", "here", "there", F.explode(_runs(F.col("here"))).alias("__anchor"))
     sensitive = F.col("category").isin(*CASE_SENSITIVE)
@@ -93,7 +104,7 @@ def substring_matches(rows: DataFrame, glossary: DataFrame) -> DataFrame:
     """(match_id, french, english): terms that both sides hold as they are written, as substrings. The
     anchor join finds whole inner words only, so terms are matched by their first three letters."""
     terms = normalised(glossary).where("length(english) >= 3").withColumn("__gram", F.substring("english", 1, 3)).drop("category").distinct()
-    small = F.broadcast if terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else (lambda d: d)
+    small = F.broadcast if _is_small(terms) else (lambda d: d)
     grams = rows.where("en is not null and fr is not null").select("match_id", "en", "fr", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("en") - 2, F.lit(1))), lambda i: F.col("en").substr(i, F.lit(3))))).alias("__gram"))
     return grams.join(small(terms), "__gram").where(F.col("en").contains(F.col("english")) & F.col("fr").contains(F.col("french"))).select("match_id", "french", "english").distinct()
 
