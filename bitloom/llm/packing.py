@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Fixed value: how the public tokenizer divides text into words.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts (or pieces of texts) that are packed together; the emptiest container of a window is
 #: opened again and goes into the next.
 WINDOW = 192
@@ -31,12 +33,11 @@ def encoder(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY):
     """The public tokenizer whose ranks are in ``folder``; read once per process."""
     key = (folder, vocabulary)
     if key not in _encoders:
-        import public_tokenizers
         import tiktoken
 
         with open(os.path.join(folder, vocabulary), "rb") as ranks:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks)}
-        _encoders[key] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
+        _encoders[key] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
     return _encoders[key]
 
 
