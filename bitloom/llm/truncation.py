@@ -23,6 +23,8 @@ TERMINAL = 0.03
 #: Share of the lines with an opening that have no mark at their end, from which they are labels
 #: (headings, captions, list entries), and the lines of usual share that are added to each opening's.
 LABEL, LABEL_PRIOR = 0.5, 4
+#: Labels up to which they are broadcast; beyond that values are shuffled by their openings.
+FEW_LABELS = 20_000
 #: Uses of the shorter context's share that are added to each context's own.
 PRIOR = 2
 #: Share of the uses of two words that have an ellipsis behind them, above which one is meant; and share
@@ -44,15 +46,16 @@ def _in_sql(pattern: str) -> str:
     return "r'" + pattern.replace("{", "{{").replace("}", "}}") + "'"
 
 
+_OPENING = _in_sql(rf"({TOKEN})(?:.*?({TOKEN}))?")
 _TOKEN, _NUMBER, _CAPITAL, _DOTS = map(_in_sql, (TOKEN, NUMBER, CAPITAL, r"^\.\.\."))
 
 _VALUES = rf"""
 select match_id, side, source, text,
-       array_join(slice(transform(regexp_extract_all(element_at(split(text, r'[\n\r]+'), -1), {_TOKEN}, 0),
-                                  x -> case when x rlike {_NUMBER} then '#' else lower(x) end), 1, 2), ' ') as opening,
+       array_join(transform(filter(array(regexp_extract(line, {_OPENING}, 1), regexp_extract(line, {_OPENING}, 2)), x -> x <> ''),
+                            x -> case when x rlike {_NUMBER} then '#' else lower(x) end), ' ') as opening,
        not text rlike {_in_sql(MARKED)} as unmarked
-from (select match_id, source, side, rtrim('{BLANKS}', text) as text
-      from (select match_id, source, stack(2, 'en', en, 'fr', fr) as (side, text) from {{docs}}))
+from (select match_id, source, side, text, element_at(split(text, r'[\n\r]+'), -1) as line from (select match_id, source, side, rtrim('{BLANKS}', text) as text
+      from (select match_id, source, stack(2, 'en', en, 'fr', fr) as (side, text) from {{docs}})))
 where text <> ''
 """
 
@@ -166,7 +169,12 @@ def judged(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     values = spark.sql(_VALUES, docs=docs)
     openings = checkpointed(spark.sql(_OPENINGS, v=values))
-    classed = lookup(values, spark.sql(_LABELS, o=openings, prior=LABEL_PRIOR, label=LABEL), ["opening"], "lines", F.col("match_id"))
+    labels = checkpointed(spark.sql(_LABELS, o=openings, prior=LABEL_PRIOR, label=LABEL).where("label"))
+    if labels.count() <= FEW_LABELS and (labels.agg(F.sum(F.length("opening"))).first()[0] or 0) <= 100 * FEW_LABELS:
+        classed = values.join(F.broadcast(labels.drop("lines")), "opening", "left")
+    else:
+        classed = lookup(values, labels, ["opening"], "lines", F.col("match_id"), how="left")
+    classed = classed.withColumn("label", F.coalesce("label", F.lit(False)))
     ends = checkpointed(spark.sql(_WORDS, c=classed))
     trigrams = checkpointed(spark.sql(_TRIGRAMS, e=ends))
     last = checkpointed(spark.sql(_LAST, e=ends))
