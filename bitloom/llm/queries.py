@@ -97,8 +97,28 @@ found as (
 """
 
 
+#: Related names of problem 5: a code of two to four letters is one of a series if enough names have it.
+_RELATED = rf"""
+with recursive names as (select distinct document_name as n from matched_docx_data where document_name is not null),
+coded as (select n, upper(regexp_extract(n, '(^|[^\pL])(\pL{{2,4}})[\s_./(–-]*(19|20)\d\d[\s_./–-]+\d', 2)) as code from names),
+series as (select code from coded where code <> '' group by code having count(*) >= {splits.SERIES_SHARE} * (select count(*) from coded where code <> '')),
+spelled as (select n, code, '(?i)(^|[^\pL])' || code || '[\s_./(–-]*((19|20)\d\d)[\s_./–-]+0*(\d+)' as p, '(?i)(^|\D)((19|20)\d\d)[\s_./–-]+0*(\d+)[\s_./–-]+' || code || '($|[^\pL])' as q from names, series),
+keyed as (
+  select distinct n, code || '-' || case when regexp_matches(n, p) then regexp_extract(n, p, 2) || '-' || regexp_extract(n, p, 4) else regexp_extract(n, q, 2) || '-' || regexp_extract(n, q, 4) end as key, regexp_matches(n, p) as before
+  from spelled where regexp_matches(n, p) or regexp_matches(n, q)),
+keys as (select n, key from keyed where before or n not in (select n from keyed where before)),
+held as (select distinct document_name as n, trim(regexp_replace(lower(en), '[\s\x{{A0}}\x{{2007}}\x{{202F}}\x{{3000}}]+', ' ', 'g')) as v from matched_docx_data where document_name is not null),
+long as (select * from held where length(v) >= {splits.MIN_CHARS}),
+common as (select a.n as x, b.n as y from long a join long b on a.v = b.v and a.n <> b.n group by all having count(*) >= {splits.MIN_COMMON}),
+edges as (select a.n as x, b.n as y from keys a join keys b using (key) where a.n <> b.n union select x, y from common),
+reached(n, low) as (select n, n from names union select e.y, r.low from reached r join edges e on e.x = r.n),
+groups as (select n, min(low) as low from reached group by n)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p5_found": _RELATED + "select low as name_a, n as name_b from groups where n <> low",
         "p4_found": _TRUNCATED + "select match_id, side from found",
         "p4_rates": _TRUNCATED + "select source, count(*) as n_values, count(f.match_id) as n_truncated, count(f.match_id) / count(*) as rate from cut left join (select match_id, side from found) f using (match_id, side) group by source",
         "p1_found": _NORMAL + "select first_id as row_a, row_id as row_b from firsts where first_id <> row_id",
