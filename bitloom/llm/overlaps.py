@@ -21,6 +21,9 @@ from bitloom.plans.skew import HOT_SHARE, lookup
 
 #: One word of so many may differ.
 PER = 8
+#: Words of a text's part in which segments are chosen at once: as many fit into each, as a part of
+#: so many words has room for one in SEGMENT and needs one in PER - 1, or one more.
+PART = 400
 #: Words of a segment; of one of a text of SHORT words, which has room for two of them only so.
 SEGMENT, SHORT_SEGMENT, SHORT = 4, 3, 7
 
@@ -37,7 +40,8 @@ def words_of(text: Column) -> Column:
 
 
 def within(a: list[str], b: list[str], k: int) -> int | None:
-    """Edit distance of two lists of words if it is at most ``k``."""
+    """Edit distance of two lists of words if it is at most ``k``. Bands are tried from narrow to wide,
+    so that long texts that hardly differ cost little."""
     if abs(len(a) - len(b)) > k or len(set(a) ^ set(b)) > 2 * k:
         return None
     i = 0
@@ -47,6 +51,13 @@ def within(a: list[str], b: list[str], k: int) -> int | None:
     while j < min(len(a), len(b)) - i and a[-1 - j] == b[-1 - j]:
         j += 1
     a, b = a[i : len(a) - j], b[i : len(b) - j]
+    band = min(k, max(4, abs(len(a) - len(b))))
+    while (d := _banded(a, b, band)) is None and band < k:
+        band = min(k, 4 * band)
+    return d
+
+
+def _banded(a: list[str], b: list[str], k: int) -> int | None:
     far = k + 1
     row = {j: j for j in range(min(k, len(b)) + 1)}
     for i, x in enumerate(a, 1):
@@ -64,9 +75,21 @@ def within(a: list[str], b: list[str], k: int) -> int | None:
 
 
 def rarest(places: list[int], counts: list[int], width: int, many: int) -> list[int]:
-    """Places of ``many`` disjoint windows of ``width`` words with the smallest sum of counts."""
-    at = dict(zip(places, counts, strict=True))
+    """Places of ``many`` disjoint windows of ``width`` words with the smallest sum of counts; in a text
+    of more than PART words, with the smallest sums in each of its parts."""
     n = max(places) + width
+    parts = -(-n // PART)
+    if parts == 1:
+        return _rarest(dict(zip(places, counts, strict=True)), n, width, many)
+    at, out = dict(zip(places, counts, strict=True)), []
+    for p in range(parts):
+        low, high = n * p // parts, n * (p + 1) // parts
+        own = {x - low: at[x] for x in range(low, high - width + 1)}
+        out += [low + x for x in _rarest(own, high - low, width, many * (p + 1) // parts - many * p // parts)]
+    return out
+
+
+def _rarest(at: dict[int, int], n: int, width: int, many: int) -> list[int]:
     inf = float("inf")
     table = [[0.0] * (n + 1)]
     for _ in range(many):

@@ -264,6 +264,22 @@ def test_banded_distance():
         assert overlaps.within(a, b, k) == (d if d <= k else None)
 
 
+@pytest.mark.parametrize("n", [30, 399, 401, 1203, 5000])
+def test_segments_are_disjoint_and_enough(n):
+    rng = random.Random(n)
+    counts = [rng.randrange(100) for _ in range(n - overlaps.SEGMENT + 1)]
+    many = n // (overlaps.PER - 1) + 1
+    got = sorted(overlaps.rarest(list(range(len(counts))), counts, overlaps.SEGMENT, many))
+    assert len(got) == many and all(b - a >= overlaps.SEGMENT for a, b in itertools.pairwise(got)) and 0 <= got[0] and got[-1] <= n - overlaps.SEGMENT
+    assert sum(counts[x] for x in got) / many < 40
+
+
+def test_long_texts_that_hardly_differ():
+    words = [f"w{i % 977}" for i in range(30_000)]
+    other = [*words[:9000], "new", *words[9000:20_000], *words[20_003:]]
+    assert overlaps.within(words, other, len(words) // overlaps.PER) == 4
+
+
 # 7. languages
 
 
