@@ -11,7 +11,7 @@ from bitloom.functions import features as X
 from bitloom.functions import text as T
 from bitloom.operators import diagnostics, documents, evaluation, formatting, glossary, proofreading, selection, similarity, terms, translation
 from bitloom.session import table
-from bitloom.sources import docx, files, sinks
+from bitloom.sources import docx, docx_edit, files, sinks
 
 
 def _bitext(s: SparkSession, d: str) -> DataFrame:
@@ -230,6 +230,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "docx_texts": lambda s, d: docx.document_texts(docx.read_elements(_docx(s, d)).where("kind = 'paragraph'")),
         "docx_runs": lambda s, d: documents.merged_runs(docx.read_runs(_docx(s, d))).select("path", "ord", "text", "bold", "italic"),
         "docx_languages": lambda s, d: docx.languages(_docx(s, d)),
+        "docx_translated": lambda s, d: docx.read_elements(docx_edit.translate_files(_docx(s, d), str.swapcase, "fr").select("path", "content")).where("kind = 'paragraph'").select("path", "ord", "text"),
+        "docx_proofing": lambda s, d: docx.languages(docx_edit.translate_files(_docx(s, d), str.swapcase, "fr").select("path", "content")),
         "restyled_terms": _restyled,
         "kept_notes": lambda s, d: documents.kept_notes(_notes(s, d)).select("ord", "notes"),
         "grouped_notes": lambda s, d: documents.grouped_notes(documents.kept_notes(_notes(s, d))).select("full_paragraph", "type", F.size("notes").alias("n")),

@@ -109,6 +109,8 @@ from documents""",
         "docx_texts": f"select path, string_agg(text, chr(10) order by p) as text, string_agg('[P' || p || '] ' || text, chr(10) order by p) as located from {_LINES} group by path",
         "docx_runs": f"select path, p::int as ord, text, false as bold, false as italic from {_LINES}",
         "docx_languages": "select distinct document_name as path, 'en' as lang from docx_sentences where document_name is not null and en is not null",
+        "docx_translated": f"select path, p::int as ord, array_to_string(list_transform(string_split(text, ''), lambda x: case when x = upper(x) then lower(x) else upper(x) end), '') as text from {_LINES}",
+        "docx_proofing": "select distinct document_name as path, 'fr' as lang from docx_sentences where document_name is not null and en is not null",
         "kept_notes": _KEPT_NOTES + "select ord, notes from kept",
         "grouped_notes": _KEPT_NOTES + "select full_paragraph, type, n from grouped",
         "note_table": _KEPT_NOTES + "select case when section = 'tables' then 'tables' else 'paragraphs' end as section, case type when 'mixed' then 'bright green' when 'url' then 'turquoise' else 'yellow' end as colour, sum(n)::bigint as n from grouped group by all",

@@ -18,6 +18,24 @@ ELEMENTS = "path string, ord int, kind string, loc_id string, tbl int, `row` int
 RUNS = "path string, ord int, run int, text string, bold boolean, italic boolean, underline boolean, superscript boolean, subscript boolean, colour string, deleted boolean, inserted boolean"
 
 
+ElementTree.register_namespace("w", W[1:-1])
+
+
+def serialised(root: ElementTree.Element, original: bytes) -> bytes:
+    """The XML of ``root`` with all prefixes that ``original`` declares, which attributes may name."""
+    head = original[: original.find(b">", original.find(b"<", original.find(b"?>") + 1)) + 1].decode("utf-8", "replace")
+    declared = dict(re.findall(r'xmlns:([A-Za-z_][\w.-]*)="([^"]*)"', head))
+    for prefix, uri in declared.items():
+        if not re.fullmatch(r"ns\d+", prefix):
+            ElementTree.register_namespace(prefix, uri)
+    data = ElementTree.tostring(root, encoding="utf-8", xml_declaration=True)
+    start = data.find(b"<", data.find(b"?>") + 1)
+    end = data.find(b">", start)
+    missing = "".join(f' xmlns:{prefix}="{uri}"' for prefix, uri in declared.items() if f"xmlns:{prefix}=".encode() not in data[start:end])
+    end -= data[end - 1 : end] == b"/"
+    return data[:end] + missing.encode() + data[end:]
+
+
 def paragraph_text(p: ElementTree.Element) -> str:
     """Text of a paragraph, without deleted text; tabs and breaks as characters."""
     out = []
@@ -123,7 +141,7 @@ def accept_changes(content: bytes) -> tuple[bytes, dict[str, int]]:
                         if tag == "ins":
                             for k, inner in enumerate(list(child)):
                                 parent.insert(at + k, inner)
-                data = ElementTree.tostring(root, encoding="utf-8", xml_declaration=True)
+                data = serialised(root, data)
             new.writestr(name, data)
     return out.getvalue(), counts
 

@@ -1,9 +1,12 @@
+import io
+import zipfile
+
 from pyspark.sql import functions as F
 
 from bitloom.functions import text as T
 from bitloom.operators import diagnostics, formatting, glossary, proofreading, selection, terms, translation
 from bitloom.operators.formatting import Run, differs, highlight, merged, restyled, tabs_apart
-from bitloom.sources import docx, files, sinks
+from bitloom.sources import docx, docx_edit, files, sinks
 
 GLOSSARY = [("nomenclature", "surveillance acoustique", "acoustic monitoring"), ("taxon", "morue", "cod"), ("acronym", "MPO", "DFO")]
 
@@ -136,3 +139,26 @@ def test_note_and_glossary_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "c")).first()["location"] == "P1"
     assert glossary.category_counts(spark.createDataFrame(GLOSSARY, "category string, french string, english string")).count() == 4
     assert terms.PREFIXES and T.LABEL
+
+
+def test_word_processor_files_are_translated(spark):
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    run = lambda t: f"<w:r><w:t>{t}</w:t></w:r>"
+    mark = lambda kind: f'<w:r><w:fldChar w:fldCharType="{kind}"/></w:r>'
+    body = (
+        f"<w:p>{run('a ')}<w:smartTag><w:smartTagPr/>{run('b')}</w:smartTag><w:hyperlink>{run(' link')}</w:hyperlink></w:p>"
+        f"<w:p>{run('x')}<w:r><w:tab/></w:r>{run('y')}</w:p><w:p>{mark('begin')}{run('7')}{mark('end')}</w:p><w:p>{mark('end')}{run('z')}<w:r><w:br/><w:t>more</w:t></w:r></w:p><w:p/>"
+    )
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", f'<w:document {w} xmlns:w14="urn:x" xmlns:mc="urn:mc" mc:Ignorable="w14"><w:body>{body}</w:body></w:document>')
+    files_ = spark.createDataFrame([("d", bytearray(out.getvalue())), ("bad", bytearray(b"x"))], "path string, content binary")
+    done = docx_edit.translate_files(files_, lambda t: f"<{t.upper()}>", "fr")
+    got = {r["path"]: r for r in done.collect()}
+    assert got["d"]["links"] == [" link"] and got["bad"]["content"] is None
+    elements = docx.read_elements(done.where("path = 'd'")).orderBy("ord").collect()
+    assert [r["text"] for r in elements] == ["<A B LINK>", "<X>\t<Y>", "7", "<Z\nMORE>"]
+    assert docx.language(got["d"]["content"]) == "fr"
+    with zipfile.ZipFile(io.BytesIO(got["d"]["content"])) as z:
+        xml = z.read("word/document.xml").decode()
+    assert 'xmlns:w14="urn:x"' in xml and 'mc:Ignorable="w14"' in xml and "ns0:" not in xml
