@@ -4,8 +4,8 @@ French sentences are emissions of a hidden Markov model whose states are English
 two or three English sentences that follow each other (one French sentence for all), and null states
 that remember the place. Moves between states have jump probabilities: the next sentence is likeliest,
 staying covers an English sentence that became several, larger jumps cover omissions and reordering.
-Emission probabilities come from a word translation table fitted by expectation maximisation, and from
-the frequencies of words in all documents.
+Emission probabilities come from a word translation table fitted by expectation maximisation on the
+sentences of all documents that share rare words, and from the frequencies of words in all documents.
 
 A long document is decoded in blocks of French sentences. Words that are rare in a document on either
 side tell which English sentences may belong to a block, however far they have moved.
@@ -16,23 +16,27 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bitloom.llm.sampling import smallest
 from bitloom.plans.materialize import checkpointed
 from bitloom.plans.skew import lookup
 
-#: Documents (those with the smallest hashes) that the translation table is fitted on, their rows at
-#: most, and passes.
-FIT_DOCUMENTS, FIT_ROWS, EM_STEPS = 300, 9000, 5
-#: Translations kept per word.
+#: Passes that the translation table is fitted in. Words seen less often than USUAL, and numbers, have
+#: no row in it.
+EM_STEPS, USUAL = 5, 3
+#: Translations kept per word at the end; four times as many between passes.
 KEPT = 12
+#: Pairs of sentences of a chunk of the fit, and sentences of a chunk that is decoded. Only a chunk and the
+#: table's rows for its words are in memory at once.
+FIT_CHUNK, CHUNK = 4000, 1000
+#: Pairs of words taken at once in a pass, cells up to which their sums are an array, and units of a count:
+#: whole numbers have the same sum in any order.
+AT_ONCE, CELLS, UNITS = 1 << 18, 1 << 23, float(1 << 24)
 #: Weight of the background for words, and for numbers and names, which a translation keeps.
 BACKGROUND, BACKGROUND_KEY = 0.25, 0.03
 #: Probability of a name or number of the other language that is the same.
@@ -68,65 +72,6 @@ def tokens(text: str) -> list[str]:
     return out
 
 
-def _anchors(en: list[list[str]], fr: list[list[str]]) -> list[tuple[int, int]]:
-    """Pairs of sentences that share more rare words than either shares with any other."""
-    seen = Counter(w for s in en for w in set(s))
-    seen_fr = Counter(w for s in fr for w in set(s))
-    rare = {w for w in seen if seen[w] <= 2 and 0 < seen_fr[w] <= 2 and (w[0].isdigit() or len(w) > 4)}
-    where = defaultdict(list)
-    for j, s in enumerate(fr):
-        for w in set(s) & rare:
-            where[w].append(j)
-    score: Counter = Counter()
-    for i, s in enumerate(en):
-        for w in set(s) & rare:
-            for j in where[w]:
-                score[i, j] += 1
-    best_i, best_j = {}, {}
-    for (i, j), n in score.items():
-        if n > best_i.get(i, (0, 0))[0]:
-            best_i[i] = (n, j)
-        if n > best_j.get(j, (0, 0))[0]:
-            best_j[j] = (n, i)
-    return [(i, j) for i, (n, j) in best_i.items() if n >= 2 and best_j[j][1] == i]
-
-
-def translation_table(pairs: list[tuple[list[str], list[str]]], steps: int = EM_STEPS) -> dict[str, dict[str, float]]:
-    """t[source word][target word], IBM model 1 by expectation maximisation."""
-    t: dict[str, dict[str, float]] = {}
-    for step in range(steps):
-        count: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
-        for source, target in pairs:
-            for f in target:
-                if step:
-                    share = [(e, t[e].get(f, 0.0)) for e in source]
-                    total = sum(p for _, p in share) or 1.0
-                else:
-                    share, total = [(e, 1.0) for e in source], float(len(source))
-                for e, p in share:
-                    if p:
-                        count[e][f] += p / total
-        t = {}
-        for e, to in count.items():
-            total = sum(to.values())
-            top = sorted(to.items(), key=lambda x: (-x[1], x[0]))[: KEPT * (4 if step + 1 < steps else 1)]
-            t[e] = {f: c / total for f, c in top}
-    return t
-
-
-def fit(known: list[tuple[list[list[str]], list[list[str]]]], frequencies: dict[str, dict[str, float]] | None = None) -> dict:
-    """Translation tables in both directions from documents' sentences in words, and shares of words
-    (of these documents' where none are given)."""
-    pairs = [(a[i], b[j]) for a, b in known for i, j in _anchors(a, b)]
-    # names and numbers are their own translations and would fill the table
-    freq_en, freq_fr = Counter(w for a, _ in known for s in a for w in s), Counter(w for _, b in known for s in b for w in s)
-    usual = lambda s, n: [w for w in s if n[w] >= 3 and not w[0].isdigit()]
-    clean = [(usual(a, freq_en), usual(b, freq_fr)) for a, b in pairs]
-    if frequencies is None:
-        frequencies = {side: {w: n / (n_all.total() or 1) for w, n in n_all.items() if n >= max(3, RARE * n_all.total())} for side, n_all in (("en", freq_en), ("fr", freq_fr))}
-    return {"to_fr": translation_table(clean), "to_en": translation_table([(b, a) for a, b in clean]), **frequencies}
-
-
 def _evidence(source: list[list[str]], target: list[list[str]], table: dict, freq: dict, own: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log likelihood ratios of each target word under each source sentence, counts of target words,
     and word probabilities of source sentences, for spans."""
@@ -259,10 +204,14 @@ def sentences_in_words(rows: DataFrame) -> DataFrame:
     return checkpointed(named.mapInPandas(cut, "document_name string, pos int, side string, words string").distinct())
 
 
-def word_shares(sides: DataFrame) -> dict[str, dict[str, float]]:
-    """Shares of the words of all sentences by side, of those that have RARE at least."""
+def word_counts(sides: DataFrame) -> DataFrame:
+    """(side, word, n) of all sentences."""
     each = sides.select("side", F.explode(F.split("words", " ")).alias("word")).where("word <> ''")
-    counted = checkpointed(each.groupBy("side", "word").agg(F.count(F.lit(1)).alias("n")))
+    return checkpointed(each.groupBy("side", "word").agg(F.count(F.lit(1)).alias("n")))
+
+
+def word_shares(counted: DataFrame) -> dict[str, dict[str, float]]:
+    """Shares of the words by side, of those that have RARE at least."""
     total = {r["side"]: r["n"] for r in counted.groupBy("side").agg(F.sum("n").alias("n")).collect()}
     out: dict[str, dict[str, float]] = {"en": {}, "fr": {}}
     for side, n in total.items():
@@ -271,30 +220,175 @@ def word_shares(sides: DataFrame) -> dict[str, dict[str, float]]:
     return out
 
 
-def _fitted(sides: DataFrame) -> dict:
-    names = smallest(sides.select("document_name").distinct(), ["document_name"], FIT_DOCUMENTS)
-    docs: dict[str, dict[str, list]] = defaultdict(lambda: {"en": [], "fr": []})
-    for r in sides.join(F.broadcast(names), "document_name").orderBy(F.xxhash64("document_name"), "document_name", "pos", "side", "words").limit(2 * FIT_ROWS).collect():
-        docs[r["document_name"]][r["side"]].append(r["words"].split())
-    return fit([(d["en"], d["fr"]) for d in docs.values()], word_shares(sides))
+def _rare_words(sides: DataFrame, at: Column) -> DataFrame:
+    """(document_name, i, j): places ``at`` on the English and the French side that share a word, once a
+    word, for words that stand at most OFTEN times on either side of the document."""
+    side = lambda name, f: f(F.when(F.col("side") == name, F.col("at")))
+    each = sides.select("document_name", "side", at.alias("at"), F.explode(F.array_distinct(F.split("words", " "))).alias("word")).where((F.length("word") > 4) | F.col("word").rlike(r"^\p{Nd}"))
+    seen = each.groupBy("document_name", "word").agg(*[side(s, f).alias(f"{k}_{s}") for s in ("en", "fr") for k, f in (("n", F.count), ("low", F.min), ("high", F.max))])
+    rare = seen.where(F.col("n_en").between(1, OFTEN) & F.col("n_fr").between(1, OFTEN))
+    both = lambda s: F.explode(F.array_distinct(F.array(f"low_{s}", f"high_{s}")))
+    return rare.withColumn("i", both("en")).withColumn("j", both("fr")).select("document_name", "i", "j")
+
+
+def anchors(sides: DataFrame) -> DataFrame:
+    """(en, fr, n): words of sentences of a document that share more rare words than either shares with any
+    other, two at least, and how often the two stand so in all documents. Of equals the first counts."""
+    at = F.struct("pos", F.xxhash64("words").alias("h"))  # sentences may have a position in common
+    shared = _rare_words(sides, at).groupBy("document_name", "i", "j").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    best = lambda a, b: F.row_number().over(Window.partitionBy("document_name", a).orderBy(F.desc("n"), b))
+    mutual = shared.withColumn("of_i", best("i", "j")).withColumn("of_j", best("j", "i")).where("of_i = 1 and of_j = 1")
+    for side, place in (("en", "i"), ("fr", "j")):
+        mutual = mutual.join(sides.where(F.col("side") == side).select("document_name", at.alias(place), F.col("words").alias(side)), ["document_name", place])
+    return mutual.groupBy("en", "fr").agg(F.count(F.lit(1)).alias("n"))
+
+
+Table = tuple[np.ndarray, np.ndarray]
+
+
+def expected(pairs: list[tuple[list[str], list[str], int]], source: dict[str, int], target: dict[str, int], table: Table | None) -> Table:
+    """How often source words are translated by target words in ``pairs`` (source, target, times), in UNITS,
+    with the probabilities ``table``; all are alike without. Words are numbered by ``source`` and ``target``,
+    others are left out; a cell of a table is source number * target numbers + target number, in order."""
+    size = len(source) * len(target)
+    dense = size <= CELLS
+    known, values = table or (None, None)
+    if table and dense:
+        full = np.zeros(size)
+        full[known] = values
+    sums, parts = np.zeros(size if dense else 0), []
+
+    def add(part: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
+        wide, high = np.array([len(a) for a, _, _ in part]), np.array([len(b) for _, b, _ in part])
+        of = np.repeat(np.arange(len(part)), high)  # pair of each target word
+        goal = np.repeat(np.arange(len(of)), wide[of])  # target word of each pair of words
+        first = (np.cumsum(wide) - wide)[of] - (np.cumsum(wide[of]) - wide[of])
+        cells = np.concatenate([a for a, _, _ in part])[np.arange(len(goal)) + first[goal]] * len(target) + np.concatenate([b for _, b, _ in part])[goal]
+        if not table:
+            p = np.ones(len(cells))
+        elif dense:
+            p = full[cells]
+        else:
+            place = np.minimum(np.searchsorted(known, cells), len(known) - 1)
+            p = np.where(known[place] == cells, values[place], 0.0)
+        total = np.bincount(goal, p, minlength=len(of))
+        share = p * (np.array([n for _, _, n in part])[of] / np.where(total > 0, total, 1.0))[goal]
+        if dense:
+            np.add.at(sums, cells, share)
+        else:
+            which, back = np.unique(cells, return_inverse=True)
+            parts.append((which, np.bincount(back, share)))
+
+    part, load = [], 0
+    for words, others, n in pairs if table is None or len(known) else ():
+        a = np.array([source[w] for w in words if w in source], np.int64)
+        b = np.array([target[w] for w in others if w in target], np.int64)
+        step = max(1, AT_ONCE // max(1, len(a)))
+        for k in range(0, len(b) if len(a) else 0, step):  # target words are independent of each other
+            part.append((a, b[k : k + step], n))
+            load += len(a) * len(part[-1][1])
+            if load >= AT_ONCE:
+                add(part)
+                part, load = [], 0
+    if part:
+        add(part)
+    which = None
+    if not dense:
+        which, back = np.unique(np.concatenate([np.zeros(0, np.int64), *(w for w, _ in parts)]), return_inverse=True)
+        sums = np.bincount(back, np.concatenate([np.zeros(0), *(c for _, c in parts)]), minlength=len(which))
+    counts = np.rint(sums * UNITS).astype(np.int64)
+    held = np.flatnonzero(counts)
+    return held if which is None else which[held], counts[held]
+
+
+def _expected_by_chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, to, c) of each chunk; its words (side, word, id, the table's row in to and p, null at first) come
+    before its pairs (no side, en, fr, n)."""
+    chunk, words, pairs = None, {"en": {}, "fr": {}}, []
+
+    def flush() -> Iterator[pd.DataFrame]:
+        ids = {s: np.array([i for i, _, _ in w.values()], np.int64) for s, w in words.items()}
+        number = {s: {x: k for k, x in enumerate(w)} for s, w in words.items()}
+        for side, other, of_side in (("en", "fr", pairs), ("fr", "en", [(b, a, n) for a, b, n in pairs])):
+            if not len(ids[side]) or not len(ids[other]):
+                continue
+            rows, table = [*words[side].values()], None
+            if rows[0][1] is not None:
+                to, p = np.concatenate([x for _, x, _ in rows]), np.concatenate([x for _, _, x in rows])
+                order = np.argsort(ids[other])
+                place = order[np.minimum(np.searchsorted(ids[other][order], to), len(order) - 1)]
+                hit = ids[other][place] == to
+                cells = (np.repeat(np.arange(len(rows)), [len(x) for _, x, _ in rows]) * len(order) + place)[hit]
+                by_cell = np.argsort(cells)
+                table = cells[by_cell], p[hit][by_cell]
+            cells, counts = expected(of_side, number[side], number[other], table)
+            yield pd.DataFrame({"id": ids[side][cells // len(ids[other])], "to": ids[other][cells % len(ids[other])], "c": counts})
+
+    for batch in batches:
+        for at, side, word, i, to, p, en, fr, n in zip(*[batch[c].tolist() for c in ("chunk", "side", "word", "id", "to", "p", "en", "fr", "n")], strict=True):
+            if at != chunk:
+                if pairs:
+                    yield from flush()
+                chunk, words, pairs = at, {"en": {}, "fr": {}}, []
+            if side:
+                words[side][word] = i, to, p
+            else:
+                pairs.append((en.split(" "), fr.split(" "), n))
+    if pairs:
+        yield from flush()
+
+
+def translations(pairs: DataFrame, counted: DataFrame) -> DataFrame:
+    """(side, word, row): the translation table of both directions, IBM model 1 by expectation maximisation
+    on all ``pairs`` of ``anchors``; a row holds the likeliest translations and their probabilities. Every
+    usual word of the pairs has one. The table is never in one place: a chunk of pairs gets the rows of its words."""
+    pairs = checkpointed(pairs)
+    chunks = -(-pairs.count() // FIT_CHUNK) or 1
+    pairs = pairs.withColumn("chunk", F.pmod(F.xxhash64("en", "fr"), F.lit(chunks)).cast("int"))
+    # ids are in the order of the words, whatever the partitions
+    usual = counted.where((F.col("n") >= USUAL) & ~F.col("word").rlike(r"^\p{Nd}")).select("side", "word").orderBy("side", "word")
+    usual = checkpointed(usual.withColumn("id", F.monotonically_increasing_id()))
+    held = [pairs.select("chunk", F.lit(s).alias("side"), F.explode(F.split(s, " ")).alias("word")) for s in ("en", "fr")]
+    wanted = checkpointed(held[0].unionByName(held[1]).distinct().join(usual, ["side", "word"]))
+    table = None
+    for step in range(EM_STEPS):
+        rows = wanted.withColumns({"to": F.lit(None).cast("array<bigint>"), "p": F.lit(None).cast("array<double>")}) if table is None else wanted.join(table, "id")
+        by_chunk = rows.unionByName(pairs, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", F.desc_nulls_last("side"), "id", "en", "fr")
+        found = by_chunk.mapInPandas(_expected_by_chunk, "id long, to long, c long").groupBy("id", "to").agg(F.sum("c").alias("c"))
+        word = Window.partitionBy("id")
+        ranked = found.withColumn("r", F.row_number().over(word.orderBy(F.desc("c"), "to"))).withColumn("p", F.col("c") / F.sum("c").over(word))
+        kept = ranked.where(F.col("r") <= (KEPT * 4 if step + 1 < EM_STEPS else KEPT))
+        table = checkpointed(kept.groupBy("id").agg(F.collect_list(F.struct("to", "p")).alias("x")).select("id", "x.to", "x.p"))
+    spelled = table.select("id", F.explode(F.arrays_zip("to", "p")).alias("x")).select(F.col("id").alias("of"), F.col("x.to").alias("id"), "x.p").join(usual, "id")
+    rows = spelled.groupBy("of").agg(F.concat_ws(" ", F.collect_list(F.concat_ws(" ", "word", F.col("p").cast("string")))).alias("row"))
+    return rows.withColumnRenamed("of", "id").join(usual, "id").select("side", "word", "row")
+
+
+def _row(row: str) -> dict[str, float]:
+    parts = row.split(" ")
+    return {f: float(p) for f, p in zip(parts[::2], parts[1::2], strict=True)}
+
+
+#: Names of the tables from each side.
+FROM = {"en": "to_fr", "fr": "to_en"}
 
 
 def fitted(rows: DataFrame) -> dict:
-    """The model for a table of documents' sentences (document_name, pos, en, fr): word shares over all of
-    them, translation tables from at most FIT_DOCUMENTS documents and FIT_ROWS sentences a side."""
-    return _fitted(sentences_in_words(rows))
+    """The model for a table of documents' sentences (document_name, pos, en, fr): word shares and translation
+    tables from all of them, as a value, for tables of which these fit into memory; ``aligned`` needs none."""
+    sides = sentences_in_words(rows)
+    counted = word_counts(sides)
+    model = {"to_fr": {}, "to_en": {}, **word_shares(counted)}
+    for r in translations(anchors(sides), counted).toLocalIterator():
+        model[FROM[r["side"]]][r["word"]] = _row(r["row"])
+    return model
 
 
 def blocks_of(sides: DataFrame, tops: DataFrame) -> DataFrame:
     """(document_name, block, side, pos, words) of documents with the last positions ``tops``
     (document_name, top_en, top_fr): each French sentence in one block, each English one in all that
     it may belong to, see the constants. No document has to fit into one task."""
-    side = lambda name, f: f(F.when(F.col("side") == name, F.col("pos")))
-    each = sides.select("document_name", "side", "pos", F.explode(F.array_distinct(F.split("words", " "))).alias("word")).where("length(word) > 4 or word rlike '^[0-9]'")
-    seen = each.groupBy("document_name", "word").agg(*[side(s, f).alias(f"{k}_{s}") for s in ("en", "fr") for k, f in (("n", F.count), ("low", F.min), ("high", F.max))])
-    rare = seen.where(F.col("n_en").between(1, OFTEN) & F.col("n_fr").between(1, OFTEN))
-    both = lambda s: F.explode(F.array_distinct(F.array(f"low_{s}", f"high_{s}")))
-    linked = rare.withColumn("i", both("en")).withColumn("j", both("fr"))
+    linked = _rare_words(sides, F.col("pos"))
     runs = linked.select("document_name", F.floor(F.col("j") / BLOCK).cast("int").alias("block"), F.explode(F.sequence((F.floor(F.col("i") / NEAR) - 1).cast("int"), (F.floor(F.col("i") / NEAR) + 1).cast("int"))).alias("run"))
     middle = lambda at: (F.col("block") + at) * BLOCK * (F.col("top_en") + 1) / (F.col("top_fr") + 1)
     straight = tops.where("top_en is not null and top_fr is not null").withColumn("block", F.explode(F.sequence(F.lit(0), F.floor(F.col("top_fr") / BLOCK).cast("int"))))
@@ -310,10 +404,9 @@ def aligned(rows: DataFrame, model: dict | None = None) -> DataFrame:
 
     Null and blank sentences and rows without name or position have none. Sentences of the same words
     at one position are taken once; of different ones each is aligned. A document longer than BLOCK is
-    decoded in blocks, so that none has to fit into one task.
+    decoded in blocks, so that none has to fit into one task. Without a ``model`` it is fitted on all rows.
     """
     sides = sentences_in_words(rows)
-    model = _fitted(sides) if model is None else model
     tops = sides.groupBy("document_name").agg(F.max(F.when(F.col("side") == "en", F.col("pos"))).alias("top_en"), F.max(F.when(F.col("side") == "fr", F.col("pos"))).alias("top_fr"), F.count(F.lit(1)).alias("n"))
     # at most rows / BLOCK documents are long
     long = checkpointed(tops.where((F.col("top_en") > BLOCK) | (F.col("top_fr") > BLOCK)))
@@ -321,31 +414,49 @@ def aligned(rows: DataFrame, model: dict | None = None) -> DataFrame:
     if not long.isEmpty():
         short = blocked.join(long.select("document_name"), "document_name", "left_anti")
         of_long = lookup(sides, long.select("document_name", "n"), ["document_name"], "n", F.col("pos"))
-        blocked = short.select("document_name", "block", "side", "pos", "words").unionByName(blocks_of(checkpointed(of_long), long.drop("n")))
+        blocked = checkpointed(short.select("document_name", "block", "side", "pos", "words").unionByName(blocks_of(checkpointed(of_long), long.drop("n"))))
+    chunks = -(-sides.count() // CHUNK) or 1
+    blocked = blocked.select(F.pmod(F.xxhash64("document_name", "block"), F.lit(chunks)).cast("int").alias("chunk"), "document_name", "block", "side", "pos", "words")
+    fitting = model is None
+    if fitting:
+        counted = word_counts(sides)
+        model = {"to_fr": {}, "to_en": {}, **word_shares(counted)}
+        table = translations(anchors(sides), counted)
+        wanted = blocked.select("chunk", "side", F.explode(F.split("words", " ")).alias("word")).distinct().join(table, ["side", "word"])
+        # rows of the table for the words of a chunk, without document
+        blocked = blocked.unionByName(wanted.select("chunk", F.lit(None).cast("string").alias("document_name"), F.lit(0).alias("block"), "side", F.lit(0).alias("pos"), F.concat_ws(" ", "word", "row").alias("words")))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         own: dict[str, list] = {"en": [], "fr": []}
-        key, found = None, []
+        of, key, found = None, None, []
 
         def flush() -> None:
-            got = align_words([w for _, w in own["en"]], [w for _, w in own["fr"]], known)
-            found.extend((key[0], *p) for p in sorted({(own["en"][i][0], own["fr"][j][0]) for i, j in got}))
+            if key is not None:
+                got = align_words([w for _, w in own["en"]], [w for _, w in own["fr"]], known)
+                found.extend((key[0], *p) for p in sorted({(own["en"][i][0], own["fr"][j][0]) for i, j in got}))
 
         for batch in batches:
-            for d, block, side, pos, words in zip(batch["document_name"], batch["block"].tolist(), batch["side"], batch["pos"].tolist(), batch["words"], strict=True):
+            for chunk, d, block, side, pos, words in zip(batch["chunk"].tolist(), batch["document_name"], batch["block"].tolist(), batch["side"], batch["pos"].tolist(), batch["words"], strict=True):
+                if chunk != of:
+                    flush()
+                    of, key = chunk, None
+                    if fitting:
+                        known = {**shared.value, "to_fr": {}, "to_en": {}}
+                if d is None:
+                    word, row = words.split(" ", 1)
+                    known[FROM[side]][word] = _row(row)
+                    continue
                 if key != (d, block):
-                    if key is not None:
-                        flush()
+                    flush()
                     key, own = (d, block), {"en": [], "fr": []}
                 own[side].append((pos, words.split()))
             yield pd.DataFrame(found, columns=["document_name", "en_pos", "fr_pos"])
             found = []
-        if key is not None:
-            flush()
-            yield pd.DataFrame(found, columns=["document_name", "en_pos", "fr_pos"])
+        flush()
+        yield pd.DataFrame(found, columns=["document_name", "en_pos", "fr_pos"])
 
-    # a block's rows come one after the other; each French sentence is in one block
-    by_block = blocked.repartition("document_name", "block").sortWithinPartitions("document_name", "block", "pos", "words")
-    return by_block.select("document_name", "block", "side", "pos", "words").mapInPandas(pair, "document_name string, en_pos int, fr_pos int")
+    # a block's rows come one after the other, behind its chunk's rows of the table; each French sentence is in one block
+    by_block = blocked.repartition("chunk").sortWithinPartitions("chunk", F.asc_nulls_first("document_name"), "block", "pos", "words")
+    return by_block.mapInPandas(pair, "document_name string, en_pos int, fr_pos int")

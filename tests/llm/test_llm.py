@@ -128,6 +128,64 @@ def test_alignment_of_three_in_one(spark):
     assert set(alignment.align(en, fr, model)) == {(0, 0), (1, 1), (2, 1), (3, 1)}
 
 
+def model_one(pairs, steps, kept):
+    """IBM model 1, plainly."""
+    t = {}
+    for step in range(steps):
+        count = {}
+        for source, target in pairs:
+            for f in target:
+                share = {e: t[e].get(f, 0.0) if step else 1.0 for e in source}
+                for e in source:
+                    count.setdefault(e, {}).setdefault(f, 0.0)
+                    count[e][f] += share[e] / sum(share[x] for x in source)
+        t = {e: {f: c / sum(to.values()) for f, c in sorted(to.items(), key=lambda x: (-x[1], x[0]))[: kept if step + 1 == steps else 4 * kept]} for e, to in count.items()}
+    return t
+
+
+def test_alignment_is_fitted_on_all_documents(spark, monkeypatch):
+    """400 documents; each of 30 words is in four of them, so that a sample of 300 lacks some."""
+    letters = [a + b for a in "abc" for b in "klmnopqrst"] + ["z"] * 70
+    rng, data, pairs = random.Random(3), [], []
+    for i in range(400):
+        k = rng.sample(range(8), 3)
+        en = f"the {letters[i % 100]}word {' '.join(f'en{chr(97 + x)}' for x in k)} {10000 + 2 * i} {10001 + 2 * i}"
+        fr = f"le {letters[i % 100]}mot {' '.join(f'fr{chr(97 + x)}' for x in k)} {10000 + 2 * i} {10001 + 2 * i}"
+        data += [(f"d{i}", 0, en, "autre chose"), (f"d{i}", 1, None, fr)]
+        pairs.append((en.split()[:-2], fr.split()[:-2]))
+    df = spark.createDataFrame(data, "document_name string, pos int, en string, fr string")
+    whole = alignment.fitted(df)
+    assert all(max(whole["to_fr"][f"{w}word"].items(), key=lambda x: x[1])[0] == f"{w}mot" for w in letters)
+    assert len(whole["to_fr"]) == 40
+    monkeypatch.setattr(alignment, "FIT_CHUNK", 60)
+    monkeypatch.setattr(alignment, "CHUNK", 100)
+    for model in (whole, alignment.fitted(df.repartition(7))):
+        for name, of in (("to_fr", pairs), ("to_en", [(b, a) for a, b in pairs])):
+            want = model_one(of, alignment.EM_STEPS, alignment.KEPT)
+            assert model[name].keys() == want.keys()
+            for e, to in want.items():
+                assert sorted(model[name][e].values()) == pytest.approx(sorted(to.values()), abs=1e-4)
+    assert rows(alignment.aligned(df)) == rows(alignment.aligned(df, whole)) == sorted(((f"d{i}", 0, 1) for i in range(400)), key=str)
+
+
+def test_expected_translations_in_parts(monkeypatch):
+    rng = random.Random(5)
+    pairs = [([f"e{rng.randrange(30)}" for _ in range(rng.randrange(9))], [f"f{rng.randrange(30)}" for _ in range(rng.randrange(9))], rng.randrange(1, 4)) for _ in range(80)]
+    source, target = {f"e{k}": k for k in range(25)}, {f"f{k}": k for k in range(20)}
+    usual = [([e for e in a if e in source], [f for f in b if f in target]) for a, b, n in pairs for _ in range(n)]
+    got = []
+    for cells, at_once in ((1 << 23, 1 << 18), (0, 1 << 18), (1 << 23, 7), (0, 7)):
+        monkeypatch.setattr(alignment, "CELLS", cells)
+        monkeypatch.setattr(alignment, "AT_ONCE", at_once)
+        held, counts = alignment.expected(pairs, source, target, None)
+        got.append((held, counts, *alignment.expected(pairs, source, target, (held, counts / alignment.UNITS))))
+    for other in got[1:]:
+        assert all(np.allclose(a, b, atol=2) for a, b in zip(got[0], other, strict=True))
+    total = sum(len(b) for a, b in usual if a)
+    assert got[0][1].sum() / alignment.UNITS == pytest.approx(total, abs=1e-3) and got[0][3].sum() / alignment.UNITS == pytest.approx(total, abs=1e-3)
+    assert all(not len(x) for x in alignment.expected(pairs, {}, target, None))
+
+
 # 4. truncation
 
 
